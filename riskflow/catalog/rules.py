@@ -162,12 +162,12 @@ def stream_metrics(spark, sf_dir):
     return quality.stream_metrics(processed).select("processed", "alerts", six("avg_latency_ms"), "sla_breaches", "errors")
 
 
-@query("repeat_suppress", TX_CTE + """, recursive_seed AS (SELECT customer_id, min(t) AS t FROM tx GROUP BY 1),
+@query("repeat_suppress", TX_CTE.replace("WITH tx", "WITH RECURSIVE tx") + """, recursive_seed AS (SELECT customer_id, min(t) AS t FROM tx GROUP BY 1),
 secs AS (SELECT customer_id, t, count(*) AS requests FROM tx GROUP BY 1, 2),
 chain AS (SELECT customer_id, t FROM recursive_seed UNION ALL
   SELECT c.customer_id, (SELECT min(s.t) FROM secs s WHERE s.customer_id = c.customer_id AND s.t >= c.t + 21600) AS t
   FROM chain c WHERE c.t IS NOT NULL)
-SELECT c.customer_id, c.t, s.requests FROM chain c JOIN secs s USING (customer_id, t)""".replace("WITH tx", "WITH RECURSIVE tx", 1))
+SELECT c.customer_id, c.t, s.requests FROM chain c JOIN secs s USING (customer_id, t)""")
 def repeat_suppress(spark, sf_dir):
     return R.first_within(transactions(spark, sf_dir), "customer_id", 21600).select(
         "customer_id", F.col("_t").alias("t"), "requests")

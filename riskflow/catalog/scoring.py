@@ -131,7 +131,7 @@ _SHARES = TX_CTE + """, longf AS (
   SELECT t >= 1705276800, 'latitude', latitude FROM tx UNION ALL
   SELECT t >= 1705276800, 'hour_of_day', CAST(hour_of_day AS DOUBLE) FROM tx),
 edges AS (SELECT feature, quantile_disc(value, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS e FROM longf WHERE NOT cur GROUP BY 1),
-binned AS (SELECT feature, cur, len(list_filter(e, x -> x < value)) AS bin FROM longf JOIN edges USING (feature)),
+binned AS (SELECT feature, cur, """ + " + ".join(f"CAST(e[{i}] < value AS INT)" for i in range(1, 10)) + """ AS bin FROM longf JOIN edges USING (feature)),
 counts AS (SELECT feature, bin, count(*) FILTER (NOT cur) AS n_ref, count(*) FILTER (cur) AS n_cur FROM binned GROUP BY 1, 2),
 shares AS (SELECT feature, bin, greatest(n_ref * 1e0 / sum(n_ref) OVER (PARTITION BY feature), 1e-4) AS p,
   greatest(n_cur * 1e0 / sum(n_cur) OVER (PARTITION BY feature), 1e-4) AS q FROM counts),

@@ -56,11 +56,14 @@ def oversample(df: DataFrame, columns: list[str], ratio: float = 0.15, label: st
                rows_per_cell: int = 2000) -> DataFrame:
     """Input rows plus synthetic minority rows, until minority / majority reaches the ratio.
 
+    The feature columns come out as double.
+
     A synthetic row lies between a minority row and one of its near ones. Near rows are looked for
     along random projections: the minority is ordered along each, and the next two rows on both
     sides are candidates, so each row has a fixed number of them and no pairs are formed. The
     order is taken inside quantile cells of the projection, so no task sorts the whole class.
     """
+    df = df.withColumns({c: F.col(c).cast("double") for c in columns})
     counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     minority, majority = counts.get(1, 0), counts.get(0, 0)
     wanted = int(ratio * majority) - minority
@@ -68,9 +71,9 @@ def oversample(df: DataFrame, columns: list[str], ratio: float = 0.15, label: st
         return df
     few = df.where(F.col(label) == 1)
     scales = few.agg(*[F.stddev_pop(c).alias(c) for c in columns]).first()
-    scaled = F.array(*[F.col(c).cast("double") / F.lit(scales[c] or 1.0) for c in columns])
+    scaled = F.array(*[F.coalesce(F.col(c), F.lit(0.0)) / F.lit(scales[c] or 1.0) for c in columns])
     points = few.select(F.col(key).alias("_id"), scaled.alias("_z"),
-                        F.array(*[F.col(c).cast("double") for c in columns]).alias("_x"))
+                        F.array(*[F.coalesce(F.col(c), F.lit(0.0)) for c in columns]).alias("_x"))
 
     def weight(p: int, i: int) -> float:
         # Signs of a fixed pattern: a random +-1 projection that is the same everywhere.

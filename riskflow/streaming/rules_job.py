@@ -43,9 +43,9 @@ class PriorActivity(StatefulProcessor):
         self.seen = handle.getListState("seen", _STATE)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["timestamp", "_order", "transaction_id"])
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["timestamp", "id_number", "transaction_id"])
         old = list(self.seen.get())
-        t_new, c_new = pdf["_t"].to_numpy("int64"), pdf["_cents"].to_numpy("int64")
+        t_new, c_new = pdf["second"].to_numpy("int64"), pdf["cents"].to_numpy("int64")
         t = np.concatenate([np.array([r[0] for r in old], "int64"), t_new])
         c = np.concatenate([np.array([r[1] for r in old], "int64"), c_new])
         total = np.concatenate([[0], np.cumsum(c)])
@@ -64,10 +64,10 @@ class PriorActivity(StatefulProcessor):
 def stream_prior_activity(transactions: DataFrame, limits: RuleLimits = RuleLimits()) -> DataFrame:
     """Stream form of `operators.rules.prior_activity`."""
     prepared = transactions.withColumns({
-        "_t": C.epoch("timestamp"),
-        "_cents": F.expr("cast(rint(amount * 100) as bigint)"),
+        "second": C.epoch("timestamp"),
+        "cents": F.expr("cast(rint(amount * 100) as bigint)"),
         # Ids that are numbers are ordered as numbers.
-        "_order": F.coalesce(F.col("transaction_id").try_cast("bigint"), F.lit(0)),
+        "id_number": F.coalesce(F.col("transaction_id").try_cast("bigint"), F.lit(0)),
     })
     return prepared.groupBy("customer_id").transformWithStateInPandas(
         statefulProcessor=PriorActivity(limits.window_s, limits.history), outputStructType=_OUT,
