@@ -93,8 +93,8 @@ def oversample(df: DataFrame, columns: list[str], ratio: float = 0.15, label: st
         placed = placed.withColumn("cell", F.lit(0))
     w = Window.partitionBy("axis", "cell").orderBy("pos", "_id")
     other = F.struct("_id", "_x", "_z")
-    near = placed.select("_id", "_x", "_z", F.explode(F.array_compact(F.array(
-        *[f(other, k).over(w) for f in (F.lag, F.lead) for k in (1, 2)]))).alias("o"))
+    sides = {f"_o{i}": step for i, step in enumerate(f(other, k).over(w) for f in (F.lag, F.lead) for k in (1, 2))}
+    near = placed.withColumns(sides).select("_id", "_x", "_z", F.explode(F.array_compact(F.array(*sides))).alias("o"))
     near = near.where(F.col("_id") != F.col("o._id"))
     distance = F.aggregate(F.zip_with("_z", "o._z", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, d: a + d)
     best = (near.groupBy("_id", F.col("o._id").alias("_nid"))
