@@ -164,8 +164,9 @@ class KeyedFrames:
                            .selectExpr("_key", f"inline({steps})", f"{_CHANGE} as _kind").drop("_on"))
             for name, (v, seconds) in self._sole.items():
                 if v == value:
-                    out.append(seen.where(f"_n <= 1 and (_before is null or _before < {T} - {seconds})")
-                               .selectExpr("_key", T, f"{_CHANGE} as _kind", f"_value as {name}"))
+                    alone = seen.where(f"_n <= 1 and (_before is null or _before < {T} - {seconds})")
+                    out.append(alone.groupBy("_key", T).agg(F.collect_set("_value").alias("_values")).selectExpr(
+                        "_key", T, f"{_CHANGE} as _kind", f"struct({T} as t, _values as v) as {name}"))
         return out
 
     def _day_markers(self, per_second: DataFrame) -> DataFrame:
@@ -205,11 +206,10 @@ class KeyedFrames:
     def _sweep(self, events: DataFrame) -> DataFrame:
         within = f"over (partition by _key, _block order by {T}, _kind rows between unbounded preceding and"
         upto, earlier = f"{within} current row)", f"{within} 1 preceding)"
-        peers = f"over (partition by _key, _block order by {T} range between current row and current row)"
         cols = [f"sum({c}) {upto} as {c}" for c in self._totals]
         cols += [f"coalesce(sum({c}) {upto}, 0L) as {c}" for c in self._distincts]
         cols += [f"last({c}, true) {upto} as {c}" for c in self._values]
-        cols += [f"collect_set({c}) {peers} as {c}" for c in self._sole]
+        cols += [f"last({c}, true) {upto} as {c}" for c in self._sole]
         if self._previous:
             cols.append(f"last(_last, true) {earlier} as _prev")
         if self._first:
@@ -217,6 +217,8 @@ class KeyedFrames:
         if self._daily:
             cols.append(f"last(_day, true) {upto} as _day")
         out = events.selectExpr("_key", T, "_kind", *cols).where(f"_kind = {_ROW}").drop("_kind")
+        for c in self._sole:
+            out = out.withColumn(c, F.expr(f"if({c}.t = {T}, {c}.v, null)"))
         if not self._daily:
             return out
         name, _, days = self._daily
