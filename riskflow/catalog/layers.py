@@ -113,10 +113,8 @@ def quarantine_rows(spark, sf_dir):
     return IO.read_layer(spark, path).select("transaction_id", "customer_id", *flags)
 
 
-@query("merge_insert_only", """WITH batch AS (
-  SELECT l_orderkey, l_linenumber, max(l_quantity) AS l_quantity, max(l_extendedprice) AS top FROM lineitem GROUP BY 1, 2)
-SELECT l_orderkey, count(*) AS n FROM (
-  SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) GROUP BY 1""")
+@query("merge_insert_only", """SELECT l_orderkey, count(*) AS n, round(sum(CAST(price AS DECIMAL(18,2))), 2)::DOUBLE AS price FROM (
+  SELECT l_orderkey, l_linenumber, max(l_extendedprice) AS price FROM lineitem GROUP BY 1, 2) GROUP BY 1""")
 def merge_insert_only(spark, sf_dir):
     """The first half is stored, then the whole table is merged twice; nothing is stored twice."""
     path = scratch_dir(spark, "merged")
@@ -126,7 +124,8 @@ def merge_insert_only(spark, sf_dir):
     IO.write_layer(cleanse.latest_per_key(rows.where("l_orderkey % 2 = 0"), order=order), path, mode="append")
     for _ in range(2):
         IO.write_layer(cleanse.not_yet_stored(rows, IO.read_layer(spark, path), order=order), path, mode="append")
-    return IO.read_layer(spark, path).groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    return IO.read_layer(spark, path).groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("price"))
 
 
 @query("schema_evolve", TX_CTE + "SELECT transaction_id, round(amount, 6) AS amount, CASE WHEN transaction_id % 2 = 1 THEN country_code END AS country_code FROM tx")

@@ -84,7 +84,8 @@ def oversample(df: DataFrame, columns: list[str], ratio: float = 0.15, label: st
     # A trace of noise, so that equal rows do not all fall into one cell.
     placed = points.select("_id", "_x", "_z", F.inline(axes)).withColumn(
         "pos", F.col("pos") + (F.abs("pos") + 1) * bucket("_id", seed, 1 << 30) / F.lit(1e18))
-    cells = max(1, minority // rows_per_cell)
+    # No more cuts than are cheap to search for each row; beyond that the cells grow.
+    cells = min(max(1, minority // rows_per_cell), 1000)
     if cells > 1:
         cuts = placed.groupBy("axis").agg(F.percentile_approx("pos", [i / cells for i in range(1, cells)]).alias("cuts"))
         placed = placed.join(F.broadcast(cuts), "axis").withColumn(

@@ -62,16 +62,16 @@ def normalize_currency(df: DataFrame, rates: dict[str, str] = S.FX_TO_INR) -> Da
 def convert_as_of(df: DataFrame, rates: DataFrame, day: Column) -> DataFrame:
     """Amount at the rate in force on the day, from dated rates (currency, valid_from, rate).
 
-    The rates become ranges, then an equi-join on the currency filtered by range. A currency
-    holds as many ranges as it had rate changes, and the skew of the currency column is left to
-    adaptive execution, which splits the transaction side.
+    The rate is looked up once per currency and day that occur, of which there are few, by filling
+    the dated rates forward. The rows then need an equi-join only, never a search over ranges.
     """
-    ranges = rates.selectExpr("currency as _currency", "rate", "valid_from",
-                              "lead(valid_from) over (partition by currency order by valid_from) as valid_to")
     dated = df.withColumn("_day", day)
-    match = ((F.col("currency") == F.col("_currency")) & (F.col("_day") >= F.col("valid_from"))
-             & (F.col("valid_to").isNull() | (F.col("_day") < F.col("valid_to"))))
-    out = dated.join(ranges, match, "left").drop("_currency", "valid_from", "valid_to", "_day")
+    asked = dated.select("currency", "_day").distinct().selectExpr("currency", "_day", "1 as _kind")
+    known = rates.selectExpr("currency", "valid_from as _day", "0 as _kind", "rate")
+    over = "over (partition by currency order by _day, _kind rows between unbounded preceding and current row)"
+    found = (asked.unionByName(known, allowMissingColumns=True)
+             .selectExpr("currency", "_day", "_kind", f"last(rate, true) {over} as rate").where("_kind = 1").drop("_kind"))
+    out = dated.join(found, ["currency", "_day"], "left").drop("_day")
     return out.withColumns({"fx_known": F.col("rate").isNotNull(),
                             "fx_rate_to_inr": F.coalesce(F.col("rate"), F.lit(1.0))}).drop("rate").withColumn(
         "amount_inr", C.convert(F.col("amount"), F.col("fx_rate_to_inr")))
@@ -94,12 +94,20 @@ def split_by_quality(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.where("dq_passed"), df.where("not dq_passed")
 
 
-def not_yet_stored(batch: DataFrame, stored: DataFrame, key: str = "transaction_id",
+def merge_key(columns: list[str], key: str = "transaction_id") -> Column:
+    """The key, or for rows without one their content, so that these are kept but stored once."""
+    if "_record_hash" not in columns:
+        return F.col(key)
+    return F.coalesce(F.col(key).cast("string"), F.concat(F.lit("#"), F.col("_record_hash")))
+
+
+def not_yet_stored(batch: DataFrame, stored: DataFrame | None, key: str = "transaction_id",
                    order: tuple[str, ...] = ("_ingestion_ts", "_record_hash")) -> DataFrame:
-    """Rows of an insert-only merge: one per new key. Rows without a key match nothing and all stay."""
-    keyed = latest_per_key(batch.where(F.col(key).isNotNull()), key, order)
-    fresh = keyed.join(stored.select(key), key, "left_anti")
-    return fresh.unionByName(batch.where(F.col(key).isNull()))
+    """Rows of an insert-only merge: one per key that the stored table does not hold."""
+    keyed = latest_per_key(batch.withColumn("_merge", merge_key(batch.columns, key)), "_merge", order)
+    if stored is not None:
+        keyed = keyed.join(stored.select(merge_key(batch.columns, key).alias("_merge")), "_merge", "left_anti")
+    return keyed.drop("_merge")
 
 
 def silver(bronze: DataFrame, customers: DataFrame | None = None, merchants: DataFrame | None = None,
