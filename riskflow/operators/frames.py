@@ -6,8 +6,8 @@ exits, which costs the same for a key with ten rows as for one that holds a thir
 
 1. rows are pre-aggregated to one per key and second, with map-side combine;
 2. each of these becomes one entry plus one exit per frame length;
-3. the running sums are taken inside blocks of `block_days` per key, each block starting from the
-   total of the blocks before it.
+3. the running sums are taken inside blocks of `block_days` per key. What is still in a frame when
+   a block starts enters it there once more, so a block needs nothing from the ones before.
 
 No group is larger than the seconds of one block, whatever the row count. Sums are exact
 (integers and decimals), so taking rows out again leaves no rounding residue.
@@ -37,11 +37,12 @@ class KeyedFrames:
     block holds whole days.
     """
 
-    def __init__(self, key: str, block_days: int = 30):
+    def __init__(self, key: str, block_days: int = 90):
         self.key = key
         self.block = block_days * DAY
         self._measures: dict[str, str] = {}                     # aggregate -> column
         self._totals: dict[str, tuple[str, str]] = {}           # name -> column, exit time
+        self._longest: dict[str, int] = {}                      # exit time -> longest stay
         self._distincts: dict[str, tuple[str, int]] = {}
         self._sole: dict[str, tuple[str, int]] = {}
         self._values: dict[str, Callable[[DataFrame], DataFrame]] = {}
@@ -53,17 +54,18 @@ class KeyedFrames:
 
     def count(self, name: str, seconds: int, of: str = "transaction_id") -> KeyedFrames:
         """Rows in the frame where `of` is not null."""
-        return self._add(name, f"count({of})", f"{T} + {seconds + 1}")
+        return self._add(name, f"count({of})", f"{T} + {seconds + 1}", seconds)
 
     def total(self, name: str, seconds: int, value: str) -> KeyedFrames:
         """Sum over the frame of an integer or decimal value."""
-        return self._add(name, f"sum({value})", f"{T} + {seconds + 1}")
+        return self._add(name, f"sum({value})", f"{T} + {seconds + 1}", seconds)
 
     def total_today(self, name: str, value: str) -> KeyedFrames:
         """Sum over the calendar day so far."""
-        return self._add(name, f"sum({value})", f"{T} - pmod({T}, {DAY}) + {DAY}")
+        return self._add(name, f"sum({value})", f"{T} - pmod({T}, {DAY}) + {DAY}", DAY)
 
-    def _add(self, name: str, aggregate: str, leaves: str) -> KeyedFrames:
+    def _add(self, name: str, aggregate: str, leaves: str, longest: int) -> KeyedFrames:
+        self._longest[leaves] = longest
         column = self._measures.setdefault(aggregate, f"_m{len(self._measures)}")
         self._totals[name] = (column, leaves)
         return self
@@ -109,19 +111,24 @@ class KeyedFrames:
         measures = [f"{agg} as {column}" for agg, column in self._measures.items()]
         if self._previous:
             measures.append(f"max({self._previous}) as _last")
-        if self._daily:
-            measures.append(f"sum({self._daily[1]}) as _amount")
         per_second = rows.groupBy("_key", T).agg(*[F.expr(m) for m in measures or ["count(1) as _n"]])
 
         parts = [self._entries_and_exits(per_second), *self._sightings(rows)]
         parts += [fn(rows).withColumn("_kind", F.lit(_CHANGE)) for fn in self._values.values()]
         if self._daily:
-            parts.append(self._day_markers(per_second))
+            parts.append(self._day_markers(rows))
+        if self._previous or self._first:
+            parts.append(self._ends_of_blocks(rows))
         events = parts[0]
         for other in parts[1:]:
             events = events.unionByName(other, allowMissingColumns=True)
-        events = events.withColumn("_block", F.expr(f"{T} div {self.block}"))
-        return self._sweep(self._with_carried(events, per_second))
+        return self._sweep(events.withColumn("_block", F.expr(f"{T} div {self.block}")))
+
+    def _starts_within(self, leaves: str, longest: int) -> list[tuple[str, str]]:
+        """(condition, time) of each block start that a stay from `_t` until `leaves` can cross."""
+        first = f"({T} div {self.block} + {{}})".format
+        return [(f"({leaves} - 1) div {self.block} >= {first(j)}", f"{first(j)} * {self.block}")
+                for j in range(1, -(-longest // self.block) + 1)]
 
     def attach(self, df: DataFrame, source: DataFrame | None = None) -> DataFrame:
         """Input rows with the requested columns; a null key is a key like any other.
@@ -143,8 +150,12 @@ class KeyedFrames:
             return f"struct({', '.join(fields)})"
 
         events = [event(T, _ROW, "", None)]
-        events += [event(at, _CHANGE, "-", at) for at in dict.fromkeys(x for _, x in self._totals.values())]
-        return per_second.selectExpr("_key", f"inline(array({', '.join(events)}))")
+        for at, longest in self._longest.items():
+            # A stay that ends where a block starts has not been carried into it.
+            events.append(f"if(pmod({at}, {self.block}) = 0, null, {event(at, _CHANGE, '-', at)})")
+            events += [f"if({crosses}, {event(start, _CARRY, '', at)}, null)"
+                       for crosses, start in self._starts_within(at, longest)]
+        return per_second.selectExpr("_key", f"inline(array({', '.join(events)}))").where(f"{T} is not null")
 
     def _sightings(self, rows: DataFrame) -> list[DataFrame]:
         """+1 where a value comes into the frame, -1 where its last sighting leaves it."""
@@ -158,10 +169,14 @@ class KeyedFrames:
                 if v != value:
                     continue
                 comes, goes = f"(_before is null or _before < {T} - {seconds})", f"(_after is null or _after > {T} + {seconds})"
-                steps = (f"filter(array(struct({T} as {T}, 1L as {name}, {comes} as _on),"
-                         f" struct({T} + {seconds + 1} as {T}, -1L as {name}, {goes} as _on)), s -> s._on)")
-                out.append(seen.where(f"_value is not null and ({comes} or {goes})")
-                           .selectExpr("_key", f"inline({steps})", f"{_CHANGE} as _kind").drop("_on"))
+                step = f"if({{}}, struct({{}} as {T}, {{}}L as {name}, {{}} as _kind), null)".format
+                steps = [step(comes, T, 1, _CHANGE),
+                         step(f"{goes} and pmod({T} + {seconds + 1}, {self.block}) <> 0", f"{T} + {seconds + 1}", -1, _CHANGE)]
+                # The next sighting in the frame brings no entry of its own, also if it opens a block.
+                until = f"least(coalesce(_after + 1, {T} + {seconds + 1}), {T} + {seconds + 1})"
+                steps += [step(crosses, start, 1, _CARRY) for crosses, start in self._starts_within(until, seconds)]
+                out.append(seen.where("_value is not null").selectExpr("_key", f"inline(array({', '.join(steps)}))")
+                           .where(f"{T} is not null"))
             for name, (v, seconds) in self._sole.items():
                 if v == value:
                     alone = seen.where(f"_n <= 1 and (_before is null or _before < {T} - {seconds})")
@@ -169,12 +184,12 @@ class KeyedFrames:
                         "_key", T, f"{_CHANGE} as _kind", f"struct({T} as t, _values as v) as {name}"))
         return out
 
-    def _day_markers(self, per_second: DataFrame) -> DataFrame:
+    def _day_markers(self, rows: DataFrame) -> DataFrame:
         """At the start of each day of a key: the greatest total of the days before it, its own,
         and the one day that a frame reaches only in part."""
-        _, _, days = self._daily
-        daily = (per_second.groupBy("_key", F.expr(f"{T} div {DAY}").alias("_day"))
-                 .agg(F.expr(f"max({T}) as _last_t"), F.expr("sum(_amount) as _total")))
+        _, value, days = self._daily
+        daily = (rows.groupBy("_key", F.expr(f"{T} div {DAY}").alias("_day"))
+                 .agg(F.expr(f"max({T}) as _last_t"), F.expr(f"sum({value}) as _total")))
         over = "over (partition by _key order by _day range between {} preceding and {} preceding)".format
         edge = over(days, days)
         return daily.selectExpr(
@@ -182,26 +197,16 @@ class KeyedFrames:
             f"struct(max(_total) {over(days - 1, 1)} as past, _total as own,"
             f" max(_last_t) {edge} as edge_t, max(_total) {edge} as edge) as _day")
 
-    def _running(self) -> list[str]:
-        return [*self._totals, *self._distincts]
-
-    def _with_carried(self, events: DataFrame, per_second: DataFrame) -> DataFrame:
-        """Add, at the start of each block of a key, what the blocks before it add up to."""
-        earlier = "over (partition by _key order by _block rows between unbounded preceding and 1 preceding)"
-        start = ["_key", "_block", f"_block * {self.block} as {T}", f"{_CARRY} as _kind"]
-        out, types = events, dict(events.dtypes)
-        if self._running():
-            sums = events.groupBy("_key", "_block").agg(*[F.expr(f"sum({c}) as {c}") for c in self._running()])
-            out = out.unionByName(sums.selectExpr(
-                *start, *[f"cast(sum({c}) {earlier} as {types[c]}) as {c}" for c in self._running()]),
-                allowMissingColumns=True)
-        if self._previous or self._first:
-            ends = (["max(_last) as _last"] * bool(self._previous)) + ([f"min({T}) as _first"] * bool(self._first))
-            blocks = per_second.groupBy("_key", F.expr(f"{T} div {self.block}").alias("_block"))
-            out = out.unionByName(blocks.agg(*[F.expr(e) for e in ends]).selectExpr(
-                *start, *[f"last(_last, true) {earlier} as _last"] * bool(self._previous),
-                *[f"min(_first) {earlier} as _first"] * bool(self._first)), allowMissingColumns=True)
-        return out
+    def _ends_of_blocks(self, rows: DataFrame) -> DataFrame:
+        """At the start of each block of a key: the last row and the first second before it."""
+        ends = (([f"max({self._previous}) as _last"] * bool(self._previous))
+                + ([f"min({T}) as _first"] * bool(self._first)))
+        blocks = rows.groupBy("_key", F.expr(f"{T} div {self.block}").alias("_b")).agg(*[F.expr(e) for e in ends])
+        earlier = "over (partition by _key order by _b rows between unbounded preceding and 1 preceding)"
+        return blocks.selectExpr(
+            "_key", f"_b * {self.block} as {T}", f"{_CARRY} as _kind",
+            *[f"last(_last, true) {earlier} as _last"] * bool(self._previous),
+            *[f"min(_first) {earlier} as _first"] * bool(self._first))
 
     def _sweep(self, events: DataFrame) -> DataFrame:
         within = f"over (partition by _key, _block order by {T}, _kind rows between unbounded preceding and"
