@@ -304,9 +304,9 @@ def build_features(df: DataFrame, *, home_country: str = "IND", max_kmph: float
     return _finish(_temporal(out, fraud_hours, weekend), df.columns)
 
 
-def gold_table(features: DataFrame) -> DataFrame:
-    """Final columns (absent ones are left out) with null numbers set to 0."""
-    kept = features.select(*[c for c in S.GOLD_COLUMNS if c in features.columns])
+def gold_table(features: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Final columns and `extra` ones (absent ones are left out) with null numbers set to 0."""
+    kept = features.select(*[c for c in (*S.GOLD_COLUMNS, *extra) if c in features.columns])
     return fill_numeric(kept)
 
 

@@ -94,6 +94,7 @@ def rule_results(limits: RuleLimits = RuleLimits()) -> Column:
     absent = ~F.coalesce(F.col("card_present"), F.lit(False))
     hour = F.coalesce(F.col("hour_of_day"), F.lit(12))
     minutes = limits.window_s // 60
+    # Names and wording of the rules.
     tests = {
         "HIGH_VELOCITY": (F.col("prior_count") >= limits.max_txn, F.concat(
             F.lit(f">{limits.max_txn} txns in {minutes} min (actual: "), F.col("prior_count").cast("string"), F.lit(")"))),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Field names and types of a transaction.
 TRANSACTION_SCHEMA = T.StructType([
     T.StructField("transaction_id", T.StringType(), False),
     T.StructField("customer_id", T.StringType(), False),
@@ -47,6 +48,7 @@ RAW_SCHEMA = T.StructType([
     T.StructField("schema_version", T.StringType()),
 ])
 
+# Feature names, in the order of the stored table.
 VELOCITY_FEATURES = [
     "txn_count_1h", "txn_count_24h", "txn_count_7d", "txn_amount_1h", "txn_amount_24h",
     "amt_zscore_30d", "velocity_spike", "max_single_day",

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from riskflow.functions import columns as C
 from riskflow.operators.rules import RuleLimits, score_rules
-from riskflow.session import scratch_dir
+from riskflow.session import ROCKSDB, STATE_STORE, scratch_dir
 from riskflow.sources.tables import table_exists
 from riskflow.streaming import messages as M
 
@@ -94,14 +94,37 @@ def write_batch(decoded: DataFrame, out: str, batch_id: int, kind: str) -> None:
     decoded.write.mode("overwrite").parquet(f"{out}/{kind}/batch={batch_id}")
 
 
+def rules_stream(messages: DataFrame, limits: RuleLimits = RuleLimits()) -> tuple[DataFrame, DataFrame]:
+    """Decoded messages and, of the readable ones, the enriched records.
+
+    Rows, alerts and records for the model are observed per micro-batch under the name `rules`
+    and appear in the progress of the query.
+    """
+    # List state needs this store.
+    messages.sparkSession.conf.set(STATE_STORE, ROCKSDB)
+    decoded = M.decode(messages)
+    enriched = score_rules(stream_prior_activity(M.readable(decoded), limits), limits)
+    return decoded, enriched.observe(
+        "rules", F.count(F.lit(1)).alias("processed"),
+        F.count_if(F.col("rule_severity").isin("CRITICAL", "HIGH")).alias("alerts"),
+        F.count_if(F.col("requires_ml_scoring")).alias("for_model"))
+
+
+def start_kafka(messages: DataFrame, servers: str, checkpoint: str, limits: RuleLimits = RuleLimits()) -> list[StreamingQuery]:
+    """As `start_rules`, with Kafka topics as output; the connector must be on the class path."""
+    decoded, enriched = rules_stream(messages, limits)
+    return [df.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
+            .option("checkpointLocation", f"{checkpoint}/{name}").start()
+            for name, df in (("routed", M.to_output_topics(enriched)), ("dead", M.dead_letters(decoded).drop("reason")))]
+
+
 def start_rules(messages: DataFrame, out: str, checkpoint: str, limits: RuleLimits = RuleLimits(),
                 available_now: bool = True) -> list[StreamingQuery]:
     """Start decode -> prior activity -> rules -> topics, and the dead-letter branch.
 
     Output folders are written per batch id, so a restart from the checkpoint repeats no message.
     """
-    decoded = M.decode(messages)
-    enriched = score_rules(stream_prior_activity(M.readable(decoded), limits), limits)
+    decoded, enriched = rules_stream(messages, limits)
 
     def sink(kind: str):
         return lambda df, batch_id: write_batch(df, out, batch_id, kind)

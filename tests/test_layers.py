@@ -128,3 +128,4 @@ def test_daily_chain(spark, source, tmp_path):
     assert report.count() == 1 and report.first()["total_transactions"] == 4
     scored = spark.read.parquet(str(tmp_path / "lake/scored"))
     assert scored.count() == 12 and "fraud_risk_score" in scored.columns
+    assert scored.where("transaction_id = 't1'").first()["amount_inr"] == pytest.approx(101 * 83.5)
