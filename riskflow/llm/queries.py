@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from riskflow.catalog.registry import Query
 from riskflow.llm.exact_dedup import exact_groups
+from riskflow.llm.quality_rules import quality_rules
 from riskflow.llm.tables import table
 
 QUERIES: dict[str, Query] = {}
@@ -28,3 +29,8 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 FROM n JOIN g USING (norm)""")
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents")).drop("n_chunks")
+
+
+@query("op9_quality_rules")
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
