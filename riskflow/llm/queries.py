@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from riskflow.catalog.registry import Query
 from riskflow.llm.exact_dedup import exact_groups
+from riskflow.llm.html_text import extract
+from riskflow.llm.quality_model import score_quality, train
 from riskflow.llm.quality_rules import quality_rules
 from riskflow.llm.tables import table
 
@@ -34,3 +36,14 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_quality_rules")
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
+
+
+@query("op2_quality_classifier")
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op3_html_extraction")
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
