@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskflow.catalog.registry import Query
+from riskflow.llm.bpe import build_lexicon, decode, encode
 from riskflow.llm.exact_dedup import exact_groups
 from riskflow.llm.html_text import extract
+from riskflow.llm.packing import pack_documents
 from riskflow.llm.quality_model import score_quality, train
 from riskflow.llm.quality_rules import quality_rules
 from riskflow.llm.tables import table
@@ -47,3 +51,17 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_html_extraction")
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
+
+
+@query("op8_bpe_transducer")
+def op8_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, vocab = table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    done = decode(encode(docs, vocab, build_lexicon(docs, vocab)), vocab)
+    listed = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"),
+                       F.sha2("text", 256).alias("decoded_sha256"))
+
+
+@query("op10_best_fit_packing")
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
