@@ -262,7 +262,7 @@ def share_file(spark: SparkSession, content: bytes) -> str:
     uri = scratch_dir(spark, "lexicon") + ".bin"
     fs, path = pyarrow.fs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}")
     fs.create_dir(path.rpartition("/")[0], recursive=True)
-    with fs.open_output_stream(path) as out:
+    with fs.open_output_stream(path, compression=None) as out:
         out.write(content)
     spark.sparkContext.addFile(uri)
     return uri.rpartition("/")[2]

@@ -14,6 +14,7 @@ from riskflow.llm.packing import pack_documents
 from riskflow.llm.quality_model import score_quality, train
 from riskflow.llm.quality_rules import quality_rules
 from riskflow.llm.tables import table
+from riskflow.llm.warc import archive_round_trip
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -65,3 +66,16 @@ def op8_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_best_fit_packing")
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op6_warc_bundles", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+     g AS (SELECT html, min(page_id) AS first_id FROM p GROUP BY html)
+SELECT page_id, octet_length(encode(html)) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+           ((('0x' || substr(hex, CAST(5 * (i // 4) + 1 AS INT), 5))::BIGINT >> CAST(15 - 5 * (i % 4) AS INT)) & 31) AS INT), 1)), '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM p JOIN g USING (html)""")
+def op6_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(table(spark, sf_dir, "pages"))
