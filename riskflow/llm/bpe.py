@@ -27,13 +27,13 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm.codes import blocks, code_points
+from riskflow.llm.codes import blocks, code_points, runs
 from riskflow.llm.pretokens import piece_starts
 from riskflow.llm.tables import text_of
 from riskflow.session import scratch_dir
 
-#: Words in the automaton, and pieces that a worker remembers.
-LEXICON, REMEMBERED = 50_000, 600_000
+#: Words in the automaton, pieces that a worker remembers, and ids that are decoded at a time.
+LEXICON, REMEMBERED, DECODED = 50_000, 300_000, 500_000
 
 
 def byte_signs() -> list[str]:
@@ -289,11 +289,18 @@ def decode(encoded: DataFrame, vocab_path: str) -> DataFrame:
     kind = encoded.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = vocabulary(vocab_path).bytes
+        tokens = vocabulary(vocab_path).bytes
+        sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        starts, flat = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(tokens), np.uint8)
         for batch in batches:
-            column = batch.column("ids")
-            ids, ends = column.flatten().to_pylist(), np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)).tolist()
-            texts = [b"".join(map(table.__getitem__, ids[a:b])).decode("utf-8", "replace") for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), column, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
+            counts = batch.column("ids").value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for a, b in runs(counts, DECODED):
+                part = batch.slice(a, b - a)
+                ids = part.column("ids").flatten().to_numpy()
+                grown = np.append(0, np.cumsum(sizes[ids]))
+                own = flat[np.repeat(starts[ids] - grown[:-1], sizes[ids]) + np.arange(grown[-1])]
+                ends = grown[np.append(0, np.cumsum(counts[a:b]))]
+                texts = [own[i:j].tobytes().decode("utf-8", "replace") for i, j in zip(ends[:-1], ends[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids array<int>, text string")

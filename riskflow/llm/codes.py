@@ -6,7 +6,7 @@ of the span's start, and are then mixed. They are 64 bits wide and depend on the
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 
@@ -36,16 +36,22 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def runs(sizes: Iterable[int], limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of entries whose sizes together are at most ``limit``; a larger entry is a range of its own."""
+    first = end = total = 0
+    for end, size in enumerate(sizes):
+        if end > first and total + size > limit:
+            yield first, end
+            first, total = end, 0
+        total += size
+        end += 1
+    if end > first:
+        yield first, end
+
+
 def blocks(texts: Sequence[str], limit: int = BLOCK) -> Iterator[tuple[int, int]]:
-    """Ranges of texts with about ``limit`` code points together; a longer text is a range of its own."""
-    first, total = 0, 0
-    for i, t in enumerate(texts):
-        if total and total + len(t) > limit:
-            yield first, i
-            first, total = i, 0
-        total += len(t)
-    if first < len(texts):
-        yield first, len(texts)
+    """Ranges of texts with about ``limit`` code points together."""
+    return runs(map(len, texts), limit)
 
 
 def code_points(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
