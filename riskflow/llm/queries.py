@@ -10,6 +10,8 @@ from riskflow.catalog.registry import Query
 from riskflow.llm.bpe import build_lexicon, decode, encode
 from riskflow.llm.exact_dedup import exact_groups
 from riskflow.llm.html_text import extract
+from riskflow.llm.line_dedup import drop_repeats
+from riskflow.llm.near_dups import near_duplicates
 from riskflow.llm.packing import pack_documents
 from riskflow.llm.quality_model import score_quality, train
 from riskflow.llm.quality_rules import quality_rules
@@ -79,3 +81,23 @@ SELECT page_id, octet_length(encode(html)) AS payload_bytes,
 FROM p JOIN g USING (html)""")
 def op6_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(table(spark, sf_dir, "pages"))
+
+
+@query("op1_line_dedup", r"""
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                  generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+     n AS (SELECT *, trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g')) AS norm,
+                  sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY pos) - length(line) - 1 AS place FROM l),
+     r AS (SELECT *, len(string_split(norm, ' ')) >= 4 AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, pos) > 1 AS gone FROM n)
+SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text, sum(gone::BIGINT)::BIGINT AS n_removed,
+       coalesce(string_agg(place::BIGINT::VARCHAR || '-' || (place + length(line))::BIGINT::VARCHAR, ',' ORDER BY pos) FILTER (WHERE gone), '') AS removed
+FROM r GROUP BY doc_id""")
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = drop_repeats(table(spark, sf_dir, "documents"))
+    spans = F.transform("removed", lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["end"].cast("string")))
+    return done.select("row.doc_id", "text", F.size("removed").cast("long").alias("n_removed"), F.concat_ws(",", spans).alias("removed"))
+
+
+@query("op5_near_duplicates")
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
