@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow.catalog.registry import Query
 from riskflow.llm.bpe import build_lexicon, decode, encode
+from riskflow.llm.chat_views import perspectives
 from riskflow.llm.exact_dedup import exact_groups
 from riskflow.llm.html_text import extract
 from riskflow.llm.line_dedup import drop_repeats
@@ -22,6 +23,11 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
+def span_list(column: str) -> Column:
+    """Spans as text, ``start-end`` with commas between them."""
+    return F.concat_ws(",", F.transform(column, lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["end"].cast("string"))))
+
+
 def query(name: str, sql: str | None = None):
     def register(fn: Query) -> Query:
         QUERIES[name] = fn
@@ -94,10 +100,26 @@ SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT
 FROM r GROUP BY doc_id""")
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = drop_repeats(table(spark, sf_dir, "documents"))
-    spans = F.transform("removed", lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["end"].cast("string")))
-    return done.select("row.doc_id", "text", F.size("removed").cast("long").alias("n_removed"), F.concat_ws(",", spans).alias("removed"))
+    return done.select("row.doc_id", "text", F.size("removed").cast("long").alias("n_removed"), span_list("removed").alias("removed"))
 
 
 @query("op5_near_duplicates")
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op4_perspective_rotation", """
+WITH m AS (SELECT DISTINCT conv_id, turn::BIGINT AS turn, coalesce(role, 'unknown') AS role, replace(coalesce(text, ''), '<|', '< |') AS content
+           FROM conversations),
+     p AS (SELECT DISTINCT conv_id, role AS perspective FROM m WHERE role <> 'system'),
+     s AS (SELECT p.conv_id, perspective, turn // 256 AS part, turn, role, content, role = perspective AS own,
+                  '<|im_start|>' || CASE WHEN role = perspective THEN 'assistant' WHEN role = 'system' THEN role
+                                         ELSE 'user name=' || role END || chr(10) AS head,
+                  content || '<|im_end|>' AS body FROM p JOIN m ON p.conv_id = m.conv_id),
+     w AS (SELECT *, sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, perspective, part ORDER BY turn, role, content)::BIGINT
+                     - length(body) - 1 AS place FROM s)
+SELECT conv_id, perspective, part, count(*) AS n_turns, string_agg(head || body || chr(10), '' ORDER BY turn, role, content) AS text,
+       coalesce(string_agg(place || '-' || (place + length(body)), ',' ORDER BY turn, role, content) FILTER (WHERE own), '') AS mask
+FROM w GROUP BY conv_id, perspective, part""")
+def op4_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspectives(table(spark, sf_dir, "conversations")).withColumn("mask", span_list("mask"))
