@@ -20,7 +20,7 @@ from riskflow.llm.codes import code_points, runs
 from .conftest import passage
 
 VOCAB = public_tokenizers.path("byte_bpe_50k.json")
-SIGNS = st.text(st.sampled_from(list("ab'stremvdl  \n\t1²½é中ñ!?<|>·\xa0\x1c\x85​　😀́Ⅷ") + ["<|endoftext|>", "'ll", " 's"]), max_size=40)
+SIGNS = st.lists(st.sampled_from(list("ab'stremvdl  \n\t1²½é中ñ!?<|>·\xa0\x1c\x85​　😀́Ⅷ") + ["<|endoftext|>", "'ll", " 's"]), max_size=40).map("".join)
 
 
 @pytest.fixture(scope="module")
@@ -110,8 +110,8 @@ def test_exchanges_raise_the_squared_fill():
 
 
 def test_search_empties_bins_that_best_fit_leaves():
-    sizes = np.array([44, 44, 44, 44, 34, 34, 34, 22, 22, 22, 56, 66, 66, 66][:14])
-    assert len(packing.pack(sizes, 100)) == math.ceil(sizes.sum() / 100)
+    sizes = np.random.default_rng(1).integers(29, 37, 300)
+    assert len(packing.pack(sizes, 100)) < len(packing.best_fit(sizes, 100))
 
 
 def test_packing_documents(docs, texts, library, no_docs):
