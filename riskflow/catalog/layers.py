@@ -8,6 +8,7 @@ from riskflow import schemas as S
 from riskflow.catalog.registry import big, query, six
 from riskflow.functions import columns as C
 from riskflow.operators import cleanse, quality
+from riskflow.plans import jobs
 from riskflow.session import scratch_dir
 from riskflow.sources import tables as IO
 from riskflow.sources.testdata import RAW_CTE, TX_CTE, raw_transactions, table, transactions
@@ -31,7 +32,7 @@ def src_json_roundtrip(spark, sf_dir):
     path = scratch_dir(spark, "raw-json")
     tx.select(F.col("transaction_id").cast("string"), F.col("amount").cast("string"), _text_ts(),
               "country_code", "card_present").write.json(path)
-    raw = IO.read_raw(spark, path, multi_line=False)
+    raw = IO.read_raw(spark, path)
     return raw.select("transaction_id", F.round(F.col("amount").try_cast("double"), 6).alias("amount"), "timestamp",
                       "country_code", F.col("card_present").cast("int"))
 
@@ -104,6 +105,27 @@ def _silver(spark, sf_dir):
     return cleanse.silver(raw_transactions(spark, sf_dir), order=_ORDER)
 
 
+@query("silver_null_ids", RAW_CTE + """SELECT count(DISTINCT transaction_id) AS n,
+  count(DISTINCT transaction_id) FILTER (transaction_id % 3 = 0) AS without_id FROM raw""")
+def silver_null_ids(spark, sf_dir):
+    """Rows without an id stay, each content once."""
+    raw = raw_transactions(spark, sf_dir).drop("ingest_seq").withColumn("account_number", F.col("transaction_id").cast("string"))
+    bare = raw.withColumn("transaction_id", F.when(F.col("transaction_id") % 3 != 0, F.col("transaction_id")))
+    silver = cleanse.silver(bare, order=("account_number",))
+    return silver.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("transaction_id").isNull()).alias("without_id"))
+
+
+@query("quarantine_rerun", _SILVER + "SELECT count(*) FILTER (NOT dq_passed) AS quarantined, count(*) FILTER (dq_passed) AS clean FROM silver")
+def quarantine_rerun(spark, sf_dir):
+    """The silver job run twice leaves both tables as one run does."""
+    root = scratch_dir(spark, "rerun")
+    IO.write_layer(cleanse.with_metadata(raw_transactions(spark, sf_dir), "b"), f"{root}/bronze")
+    for _ in range(2):
+        jobs.transform_silver(spark, f"{root}/bronze", f"{root}/silver", f"{root}/quarantine")
+    bad, clean = (IO.read_layer(spark, f"{root}/{t}").select(F.lit(t).alias("t")) for t in ("quarantine", "silver"))
+    return bad.unionByName(clean).agg(F.count_if(F.col("t") == "quarantine").alias("quarantined"), F.count_if(F.col("t") == "silver").alias("clean"))
+
+
 @query("quarantine_rows", _SILVER + "SELECT transaction_id, customer_id, CAST(dq_amount_valid AS INT) AS dq_amount_valid, CAST(dq_timestamp_valid AS INT) AS dq_timestamp_valid, CAST(dq_customer_valid AS INT) AS dq_customer_valid FROM silver WHERE NOT dq_passed")
 def quarantine_rows(spark, sf_dir):
     path = scratch_dir(spark, "quarantine")
@@ -153,13 +175,27 @@ def bronze_metadata(spark, sf_dir):
     return out.select("transaction_id", "ingest_seq", "_batch_id", F.date_format("_partition_date", "yyyy-MM-dd").alias("_partition_date"))
 
 
-@query("record_hash", TX_CTE + """SELECT transaction_id, sha256(concat_ws('|', CAST(transaction_id AS VARCHAR), transaction_type,
-  coalesce(CAST(merchant_id AS VARCHAR), ''), country_code)) AS record_hash FROM tx""")
+_PARTS = ["CAST(transaction_id AS VARCHAR)", "transaction_type", "CAST(merchant_id AS VARCHAR)", "country_code"]
+
+
+@query("record_hash", TX_CTE + "SELECT transaction_id, sha256(" + " || ".join(
+    f"coalesce(length({p}) || ':' || {p}, '-')" for p in _PARTS) + ") AS record_hash FROM tx")
 def record_hash(spark, sf_dir):
     return transactions(spark, sf_dir).select("transaction_id", C.record_hash(
         ["transaction_id", "transaction_type", "merchant_id", "country_code"]).alias("record_hash"))
 
 
+@query("record_hash_odd_values", TX_CTE + """, odd AS (SELECT transaction_id % 3 AS a, CASE transaction_id % 4 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'x|y' ELSE 'x' END AS b,
+  CASE transaction_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '|' WHEN 3 THEN 'y' ELSE '1:y' END AS c FROM tx)
+SELECT count(*) AS n, count(DISTINCT (a, b, c)) AS hashes FROM odd""")
+def record_hash_odd_values(spark, sf_dir):
+    """As many hashes as different rows, with nulls, empty texts and separators in the values."""
+    odd = transactions(spark, sf_dir).selectExpr(
+        "transaction_id % 3 as a", "case transaction_id % 4 when 0 then null when 1 then '' when 2 then 'x|y' else 'x' end as b",
+        "case transaction_id % 5 when 0 then null when 1 then '' when 2 then '|' when 3 then 'y' else '1:y' end as c")
+    return odd.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(C.record_hash(["a", "b", "c"])).alias("hashes"))
+
+
 @query("dedup_latest", RAW_CTE + "SELECT transaction_id, max(ingest_seq) AS ingest_seq FROM raw GROUP BY 1")
 def dedup_latest(spark, sf_dir):
     return cleanse.latest_per_key(raw_transactions(spark, sf_dir), order=_ORDER).select("transaction_id", "ingest_seq")

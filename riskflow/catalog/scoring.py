@@ -163,7 +163,7 @@ def retrain_decision(spark, sf_dir):
 # -- evaluation ---------------------------------------------------------------------------
 
 SCORE = "(transaction_id * 37 % 1000 + 400 * is_fraud) / 1400e0"
-_CURVE = TX_CTE + f""", s AS (SELECT round({SCORE}, 4) AS threshold, is_fraud AS y FROM tx),
+_CURVE = TX_CTE + f""", s AS (SELECT {SCORE} AS threshold, is_fraud AS y FROM tx),
 g AS (SELECT threshold, sum(y) AS pos, count(*) AS n FROM s GROUP BY 1),
 c AS (SELECT *, sum(pos) OVER (ORDER BY threshold DESC) AS tp, sum(n) OVER (ORDER BY threshold DESC) AS predicted,
   sum(pos) OVER () AS all_pos, sum(n) OVER () AS all_n FROM g),
@@ -179,10 +179,10 @@ def _scores(spark, sf_dir):
     return transactions(spark, sf_dir).select("transaction_id", "timestamp", F.expr(SCORE).alias("score"), "is_fraud")
 
 
-@query("pr_curve", _CURVE + "SELECT round(threshold, 4) AS threshold, CAST(tp AS BIGINT) AS tp, CAST(predicted AS BIGINT) AS predicted, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1 FROM f")
+@query("pr_curve", _CURVE + "SELECT round(threshold, 9) AS threshold, CAST(tp AS BIGINT) AS tp, CAST(predicted AS BIGINT) AS predicted, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1 FROM f")
 def pr_curve(spark, sf_dir):
     return metrics.pr_curve(_scores(spark, sf_dir), "score", "is_fraud").select(
-        F.round("threshold", 4).alias("threshold"), "tp", "predicted", six("precision"), six("recall"), six("f1"))
+        F.round("threshold", 9).alias("threshold"), "tp", "predicted", six("precision"), six("recall"), six("f1"))
 
 
 @query("pr_auc", _CURVE + "SELECT round(sum(pos * 1e0 / all_pos * precision), 6) AS pr_auc FROM f")
@@ -209,16 +209,16 @@ def confusion_matrix(spark, sf_dir):
     return out.select(*_COUNTS, six("false_positive_rate"), six("false_negative_rate"), six("f1_score"))
 
 
-@query("threshold_recall", _CURVE + "SELECT round(threshold, 4) AS threshold, round(f1, 6) AS f1 FROM f WHERE recall >= 0.92 ORDER BY f.f1 DESC, f.threshold LIMIT 1")
+@query("threshold_recall", _CURVE + "SELECT round(threshold, 9) AS threshold, round(f1, 6) AS f1 FROM f WHERE recall >= 0.92 ORDER BY f.f1 DESC, f.threshold LIMIT 1")
 def threshold_recall(spark, sf_dir):
     return metrics.best_threshold(_scores(spark, sf_dir), "score", "is_fraud", 0.92).select(
-        F.round("threshold", 4).alias("threshold"), six("f1"))
+        F.round("threshold", 9).alias("threshold"), six("f1"))
 
 
-@query("threshold_f1", _CURVE + "SELECT round(threshold, 4) AS threshold, round(f1, 6) AS f1 FROM f ORDER BY f.f1 DESC, f.threshold LIMIT 1")
+@query("threshold_f1", _CURVE + "SELECT round(threshold, 9) AS threshold, round(f1, 6) AS f1 FROM f ORDER BY f.f1 DESC, f.threshold LIMIT 1")
 def threshold_f1(spark, sf_dir):
     return metrics.best_threshold(_scores(spark, sf_dir), "score", "is_fraud").select(
-        F.round("threshold", 4).alias("threshold"), six("f1"))
+        F.round("threshold", 9).alias("threshold"), six("f1"))
 
 
 @query("evaluate", _CURVE + f""", m AS (SELECT {_MATRIX} FROM (SELECT {SCORE} >= 0.6 AS d, is_fraud AS y FROM tx)),
@@ -231,7 +231,7 @@ def evaluate(spark, sf_dir):
                       six("false_positive_rate"), six("false_negative_rate"), six("f1_score"))
 
 
-@query("performance_drop", TX_CTE + f""", s0 AS (SELECT t >= 1705276800 AS cur, round({SCORE}, 4) AS threshold, is_fraud AS y FROM tx),
+@query("performance_drop", TX_CTE + f""", s0 AS (SELECT t >= 1705276800 AS cur, {SCORE} AS threshold, is_fraud AS y FROM tx),
 auc AS (SELECT a.cur, avg(CASE WHEN a.threshold > b.threshold THEN 1e0 WHEN a.threshold = b.threshold THEN 0.5 ELSE 0 END) AS auc
   FROM s0 a JOIN s0 b ON a.cur = b.cur AND a.y = 1 AND b.y = 0 GROUP BY 1)
 SELECT round(max(auc) FILTER (NOT cur) - max(auc) FILTER (cur), 6) AS performance_drop,

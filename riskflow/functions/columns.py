@@ -71,9 +71,13 @@ def dq_passed(names: Iterable[str] = ("dq_amount_valid", "dq_timestamp_valid", "
 
 
 def record_hash(columns: Iterable[str]) -> Column:
-    """SHA-256 of the business columns; nulls keep their place."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
-    return F.sha2(F.concat_ws("|", *parts), 256)
+    """SHA-256 of the business columns, each with its length before it and a sign of its own for null.
+
+    Neither separators within values nor nulls make different rows alike.
+    """
+    texts = [F.col(c).cast("string") for c in columns]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    return F.sha2(F.concat(*parts), 256)
 
 
 # -- currency ---------------------------------------------------------------------------

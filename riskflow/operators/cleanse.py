@@ -96,9 +96,9 @@ def split_by_quality(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def merge_key(columns: list[str], key: str = "transaction_id") -> Column:
     """The key, or for rows without one their content, so that these are kept but stored once."""
-    if "_record_hash" not in columns:
-        return F.col(key)
-    return F.coalesce(F.col(key).cast("string"), F.concat(F.lit("#"), F.col("_record_hash")))
+    content = F.col("_record_hash") if "_record_hash" in columns else C.record_hash(
+        [c for c in columns if c not in METADATA])
+    return F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.concat(F.lit("#"), content))
 
 
 def not_yet_stored(batch: DataFrame, stored: DataFrame | None, key: str = "transaction_id",
@@ -113,7 +113,8 @@ def not_yet_stored(batch: DataFrame, stored: DataFrame | None, key: str = "trans
 def silver(bronze: DataFrame, customers: DataFrame | None = None, merchants: DataFrame | None = None,
            order: tuple[str, ...] = ("_ingestion_ts", "_record_hash")) -> DataFrame:
     """Deduplicated, typed, flagged, converted and enriched; not yet split by quality."""
-    df = normalize_currency(flag_quality(cast_fields(latest_per_key(bronze, order=order))))
+    latest = latest_per_key(bronze.withColumn("_merge", merge_key(bronze.columns)), "_merge", order).drop("_merge")
+    df = normalize_currency(flag_quality(cast_fields(latest)))
     if customers is not None:
         df = enrich(df, customers, "customer_id", S.CUSTOMER_ATTRIBUTES, "ref_")
     if merchants is not None:

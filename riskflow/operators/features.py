@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from riskflow import schemas as S
 from riskflow.functions import columns as C
-from riskflow.operators.frames import T, KeyedFrames, cents
+from riskflow.operators.frames import T, UNIT, KeyedFrames, units
 from riskflow.operators.quantiles import frame_median
 
 
@@ -34,17 +34,17 @@ def _share(name: str) -> Column:
 
 def _ask_velocity(f: KeyedFrames, as_of: bool = False) -> None:
     f.count("txn_count_1h", S.HOUR).count("txn_count_24h", S.DAY).count("txn_count_7d", S.WEEK)
-    f.total("txn_amount_1h", S.HOUR, cents("amount")).total("txn_amount_24h", S.DAY, cents("amount"))
+    f.total("txn_amount_1h", S.HOUR, units("amount")).total("txn_amount_24h", S.DAY, units("amount"))
     _ask_amount_moments(f)
-    exact = f"cast({cents('amount')} as decimal(18,0))"
+    exact = f"cast({units('amount')} as decimal(18,0))"
     f.total("_sq_30d", S.DAYS_30, f"{exact} * {exact}")
-    f.max_day_total("max_single_day", cents("amount"))
+    f.max_day_total("max_single_day", units("amount"))
     if as_of:
-        f.total_today("_today", cents("amount"))
+        f.total_today("_today", units("amount"))
 
 
 def _ask_amount_moments(f: KeyedFrames) -> None:
-    f.count("_n_30d", S.DAYS_30, "amount").total("_sum_30d", S.DAYS_30, cents("amount"))
+    f.count("_n_30d", S.DAYS_30, "amount").total("_sum_30d", S.DAYS_30, units("amount"))
 
 
 def _mean_30d() -> Column:
@@ -52,8 +52,8 @@ def _mean_30d() -> Column:
 
 
 def _units(total: str | Column) -> Column:
-    """Cents as an amount."""
-    return (F.col(total) if isinstance(total, str) else total) / 100.0
+    """A total of ten-thousandths as an amount."""
+    return (F.col(total) if isinstance(total, str) else total) / F.lit(float(UNIT))
 
 
 def _velocity(df: DataFrame, as_of: bool = False) -> DataFrame:
@@ -61,7 +61,7 @@ def _velocity(df: DataFrame, as_of: bool = False) -> DataFrame:
     n = F.col("_n_30d").cast("double")
     squares = F.expr("cast(_sq_30d * cast(_n_30d as decimal(12,0))"
                      " - cast(_sum_30d as decimal(19,0)) * cast(_sum_30d as decimal(19,0)) as double)")
-    spread = F.when(n > 1, F.sqrt(squares / (n * (n - 1))) / 100.0)
+    spread = F.when(n > 1, F.sqrt(squares / (n * (n - 1))) / float(UNIT))
     day_total = F.col("max_single_day")
     if as_of:
         # Drop the current day's whole total and use what it had reached by now.
@@ -190,7 +190,7 @@ def _device(df: DataFrame, max_customers: int, exclude_current: bool) -> DataFra
 
 def _ask_merchant(f: KeyedFrames, columns: list[str]) -> None:
     f.count("merchant_txn_count_7d", S.WEEK)
-    f.count("_merchant_n", S.DAYS_30, "amount").total("_merchant_sum", S.DAYS_30, cents("amount"))
+    f.count("_merchant_n", S.DAYS_30, "amount").total("_merchant_sum", S.DAYS_30, units("amount"))
     f.distinct("merchant_unique_cards_7d", S.WEEK, "card_bin")
     _ask_label(f, "merchant_label", columns)
 

@@ -25,9 +25,13 @@ DAY = 86400
 _CARRY, _CHANGE, _ROW = 0, 1, 2            # order of the kinds within one second
 
 
-def cents(amount: str) -> str:
-    """Whole cents of an amount; sums of these are exact and fit a long."""
-    return f"cast(rint({amount} * 100) as bigint)"
+#: Parts of a currency unit that amounts are counted in: four decimals, as the decimal type of money has.
+UNIT = 10_000
+
+
+def units(amount: str) -> str:
+    """An amount in whole ten-thousandths; sums of these are exact and fit a long."""
+    return f"cast(rint({amount} * {UNIT}) as bigint)"
 
 
 class KeyedFrames:

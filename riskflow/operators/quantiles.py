@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskflow.operators.frames import UNIT
 from riskflow.session import checkpoints
 
 DIGIT_BITS = 4
@@ -19,7 +20,7 @@ _FANOUT = 1 << DIGIT_BITS
 
 
 def frame_median(rows: DataFrame, seconds: int, name: str, hot_rows: int = 2000,
-                 value: str = "amount", scale: int = 100) -> DataFrame:
+                 value: str = "amount", scale: int = UNIT) -> DataFrame:
     """Lower median of `value` per (`_key`, `_t`), as columns `_key`, `_t`, `name`.
 
     The search works on whole multiples of 1/`scale`. Whether there are hot keys, and how many

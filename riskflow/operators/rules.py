@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskflow.functions import columns as C
+from riskflow.operators.frames import UNIT, T, KeyedFrames, units
 
 
 @dataclass(frozen=True)
@@ -21,7 +23,7 @@ class RuleLimits:
     max_amount: float = 100_000
     large_amount: float = 1_000_000
     cnp_amount: float = 50_000
-    history: int = 100           # earlier rows kept per customer
+    history: int | None = None   # the latest so many earlier rows count; None: all of the window
     ml_score: int = 20
 
 
@@ -31,7 +33,25 @@ POINTS = {"HIGH_VELOCITY": 35, "VELOCITY_AMOUNT": 30, "HIGH_RISK_MERCHANT": 20,
 
 
 def prior_activity(df: DataFrame, limits: RuleLimits = RuleLimits(), key: str = "customer_id") -> DataFrame:
-    """Count and sum of the key's earlier rows of the last `window_s` seconds, the latest `history` at most.
+    """Count and sum of the key's earlier rows of the last `window_s` seconds. Earlier means ordered by time, then id.
+
+    The totals of the window come from running sums over one row per key and second (see `frames`);
+    what is not earlier within the own second is taken off again.
+    """
+    if limits.history is not None:
+        return _latest_activity(df, limits, key)
+    rows = df.withColumns({T: C.epoch("timestamp"), "_c": F.expr(f"coalesce({units('amount')}, 0)")})
+    frames = KeyedFrames(key, block_days=max(1, -(-limits.window_s // 86400))).count("_n", limits.window_s, "1").total("_s", limits.window_s, "_c")
+    peers = Window.partitionBy(key, T).orderBy("timestamp", "transaction_id").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    timed = F.col(T).isNotNull()
+    return frames.attach(rows).withColumns({
+        "prior_count": F.when(timed, F.col("_n") - F.count(F.lit(1)).over(peers)).otherwise(F.lit(0)),
+        "prior_amount": F.when(timed, F.col("_s") - F.sum("_c").over(peers)).otherwise(F.lit(0)) / F.lit(float(UNIT)),
+    }).drop("_n", "_s", "_c", T)
+
+
+def _latest_activity(df: DataFrame, limits: RuleLimits, key: str) -> DataFrame:
+    """As `prior_activity`, of the latest `history` earlier rows only.
 
     A key is cut into time slices. The rows that the next slice still looks back to are copied
     into it, so a slice is complete in itself and a hot key spreads over as many tasks as it has
@@ -48,13 +68,13 @@ def prior_activity(df: DataFrame, limits: RuleLimits = RuleLimits(), key: str =
         f" array(_rt div {length}, _rt div {length} + 1), array(_rt div {length})))")))
     before = (Window.partitionBy(key, "_slice").orderBy("timestamp", "transaction_id")
               .rowsBetween(-limits.history, -1))
-    recent = F.filter(F.collect_list(F.struct(t.alias("t"), F.expr("cast(rint(amount * 100) as bigint)").alias("c")))
+    recent = F.filter(F.collect_list(F.struct(t.alias("t"), F.expr(units("amount")).alias("c")))
                       .over(before), lambda e: e["t"] >= t - w_s)
     out = rows.withColumn("_recent", recent).where(F.expr(f"_rt is null or _slice = _rt div {length}"))
     return out.withColumns({
         "prior_count": F.size("_recent").cast("bigint"),
         "prior_amount": F.aggregate("_recent", F.lit(0).cast("bigint"),
-                                    lambda a, e: a + F.coalesce(e["c"], F.lit(0).cast("bigint"))) / 100.0,
+                                    lambda a, e: a + F.coalesce(e["c"], F.lit(0).cast("bigint"))) / float(UNIT),
     }).drop("_recent", "_slice", "_rt")
 
 
@@ -64,7 +84,7 @@ def prior_in_session(df: DataFrame, idle_s: int = 300, key: str = "customer_id")
     Worked out on one row per key and second, which bounds a key by the seconds it spans; rows
     then add what came before them within their own second.
     """
-    rows = df.withColumns({"_rt": C.epoch("timestamp"), "_c": F.expr("cast(rint(amount * 100) as bigint)")})
+    rows = df.withColumns({"_rt": C.epoch("timestamp"), "_c": F.expr(units("amount"))})
     seconds = (rows.where("_rt is not null").groupBy(key, "_rt")
                .agg(F.count(F.lit(1)).alias("_n"), F.coalesce(F.sum("_c"), F.lit(0)).alias("_sum")))
     of_key = f"over (partition by {key} order by _rt"
@@ -78,7 +98,7 @@ def prior_in_session(df: DataFrame, idle_s: int = 300, key: str = "customer_id")
     earlier = peers.rowsBetween(Window.unboundedPreceding, -1)
     return joined.withColumns({
         "prior_count": F.col("_n0") + F.row_number().over(peers) - 1,
-        "prior_amount": (F.col("_s0") + F.coalesce(F.sum("_c").over(earlier), F.lit(0))) / 100.0,
+        "prior_amount": (F.col("_s0") + F.coalesce(F.sum("_c").over(earlier), F.lit(0))) / float(UNIT),
     }).drop("_key", "_st", "_n0", "_s0", "_rt", "_c")
 
 
@@ -128,9 +148,12 @@ def score_rules(df: DataFrame, limits: RuleLimits = RuleLimits()) -> DataFrame:
     }).drop("_rules")
 
 
-def run_rules(df: DataFrame, limits: RuleLimits = RuleLimits()) -> DataFrame:
-    """The batch form of the rule engine."""
-    return score_rules(prior_activity(df, limits), limits)
+def run_rules(df: DataFrame, limits: RuleLimits = RuleLimits(), mode: str = "window") -> DataFrame:
+    """The batch form of the rule engine; `mode` is `window`, or `ttl_session` for activity since the key was last idle."""
+    if mode not in ("window", "ttl_session"):
+        raise ValueError(f"unknown mode {mode}")
+    prior = prior_activity(df, limits) if mode == "window" else prior_in_session(df, limits.window_s)
+    return score_rules(prior, limits)
 
 
 def first_within(df: DataFrame, key: str, ttl_s: int = 60) -> DataFrame:
@@ -146,13 +169,13 @@ def first_within(df: DataFrame, key: str, ttl_s: int = 60) -> DataFrame:
 
     def answered(batches):
         last_key, last_t = object(), 0
-        for pdf in batches:
+        for batch in batches:                      # Arrow keeps null keys equal and whole numbers whole
             keep = []
-            for k, t in zip(pdf[key].tolist(), pdf["_t"].tolist()):
+            for k, t in zip(batch.column(key).to_pylist(), batch.column("_t").to_pylist(), strict=True):
                 fresh = k != last_key or t >= last_t + ttl_s
                 if fresh:
                     last_key, last_t = k, t
                 keep.append(fresh)
-            yield pdf[keep]
+            yield batch.filter(pa.array(keep))
 
-    return ordered.mapInPandas(answered, ordered.schema)
+    return ordered.mapInArrow(answered, ordered.schema)

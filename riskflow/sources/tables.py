@@ -14,10 +14,11 @@ CORRUPT = "_corrupt_record"
 
 
 def read_raw(spark: SparkSession, path: str, fmt: str = "json", schema: T.StructType = RAW_SCHEMA,
-             multi_line: bool = True) -> DataFrame:
+             multi_line: bool = False) -> DataFrame:
     """Raw records under an explicit schema; unreadable ones keep their text in `_corrupt_record`.
 
-    Files of one record per line should pass `multi_line=False`, so that they can be split.
+    One record per line, so that files can be split. Files that hold an array or records over
+    several lines need `multi_line=True`; each is then read whole by one task.
     """
     reader = spark.read.format(fmt)
     if fmt in ("json", "csv"):

@@ -52,7 +52,6 @@ def decode(messages: DataFrame, value: str = "value") -> DataFrame:
     return rows.withColumns({
         "amount": F.col("amount").try_cast("double"),
         "timestamp": ts,
-        "hour_of_day": F.coalesce(F.col("hour_of_day"), F.hour(ts)),
     })
 
 
@@ -68,8 +67,19 @@ def dead_letters(decoded: DataFrame) -> DataFrame:
         F.lit(S.TOPIC_DEAD_LETTER).alias("topic"), F.col("_raw").alias("value"), reason.alias("reason"))
 
 
-def readable(decoded: DataFrame) -> DataFrame:
-    return decoded.where(~is_dead_letter()).drop(CORRUPT, "_raw")
+def readable(decoded: DataFrame, keep_raw: bool = False) -> DataFrame:
+    """Records that can be judged; `keep_raw` carries the message along as `payload`, for `whole_record`."""
+    rows = decoded.where(~is_dead_letter()).drop(CORRUPT)
+    return rows.withColumnRenamed("_raw", "payload") if keep_raw else rows.drop("_raw")
+
+
+def whole_record(enriched: DataFrame) -> DataFrame:
+    """All fields of the message beside what the rules found, and when that was."""
+    rest = [T.StructField(f.name, T.DoubleType() if f.name in ("latitude", "longitude") else f.dataType)
+            for f in S.RAW_SCHEMA.fields if f.name != S.LABEL and f.name not in enriched.columns]
+    found = enriched.withColumn("_rest", F.from_json("payload", T.StructType(rest)))
+    own = [c for c in enriched.columns if c != "payload"]
+    return found.select(*own, *[F.col(f"_rest.{f.name}").alias(f.name) for f in rest], F.current_timestamp().alias("enriched_at"))
 
 
 def to_input_topics(transactions: DataFrame) -> DataFrame:

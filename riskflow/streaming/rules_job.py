@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from riskflow.functions import columns as C
+from riskflow.operators.frames import UNIT, units
 from riskflow.operators.rules import RuleLimits, score_rules
 from riskflow.session import ROCKSDB, STATE_STORE, scratch_dir
 from riskflow.sources.tables import table_exists
@@ -25,18 +26,19 @@ _OUT = T.StructType([
     T.StructField("is_high_risk_merchant", T.BooleanType()), T.StructField("card_present", T.BooleanType()),
     T.StructField("is_international", T.BooleanType()), T.StructField("hour_of_day", T.IntegerType()),
     T.StructField("prior_count", T.LongType()), T.StructField("prior_amount", T.DoubleType()),
+    T.StructField("payload", T.StringType()),
 ])
-_STATE = T.StructType([T.StructField("t", T.LongType()), T.StructField("cents", T.LongType())])
+_STATE = T.StructType([T.StructField("t", T.LongType()), T.StructField("units", T.LongType())])
 
 
 class PriorActivity(StatefulProcessor):
-    """Keeps the last `history` (second, amount) pairs of a customer, no more.
+    """Keeps the (second, amount) pairs of a customer that a later row can still look back to, or the last `history` of them.
 
     A micro-batch brings the rows of a customer in no order, so they are put in order of time and
     id first; the trigger limits of the source bound how many there can be.
     """
 
-    def __init__(self, window_s: int, history: int):
+    def __init__(self, window_s: int, history: int | None):
         self.window_s, self.history = window_s, history
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -45,16 +47,20 @@ class PriorActivity(StatefulProcessor):
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True).sort_values(["timestamp", "id_number", "transaction_id"])
         old = list(self.seen.get())
-        t_new, c_new = pdf["second"].to_numpy("int64"), pdf["cents"].to_numpy("int64")
+        t_new, c_new = pdf["second"].to_numpy("int64"), pdf["units"].to_numpy("int64")
         t = np.concatenate([np.array([r[0] for r in old], "int64"), t_new])
         c = np.concatenate([np.array([r[1] for r in old], "int64"), c_new])
         total = np.concatenate([[0], np.cumsum(c)])
         here = np.arange(len(old), len(t))
         # Rows are in time order, so those that still count are a suffix of what came before.
-        start = np.maximum(np.searchsorted(np.maximum.accumulate(t), t_new - self.window_s), here - self.history)
+        start = np.searchsorted(np.maximum.accumulate(t), t_new - self.window_s)
+        kept = t >= t.max() - self.window_s
+        if self.history is not None:
+            start = np.maximum(start, here - self.history)
+            kept[:-self.history] = False
         pdf["prior_count"] = here - start
-        pdf["prior_amount"] = (total[here] - total[start]) / 100.0
-        self.seen.put([(int(a), int(b)) for a, b in zip(t[-self.history:], c[-self.history:])])
+        pdf["prior_amount"] = (total[here] - total[start]) / UNIT
+        self.seen.put([(int(a), int(b)) for a, b in zip(t[kept], c[kept], strict=True)])
         yield pdf[_OUT.fieldNames()]
 
     def close(self) -> None:
@@ -65,7 +71,7 @@ def stream_prior_activity(transactions: DataFrame, limits: RuleLimits = RuleLimi
     """Stream form of `operators.rules.prior_activity`."""
     prepared = transactions.withColumns({
         "second": C.epoch("timestamp"),
-        "cents": F.expr("cast(rint(amount * 100) as bigint)"),
+        "units": F.expr(units("amount")),
         # Ids that are numbers are ordered as numbers.
         "id_number": F.coalesce(F.col("transaction_id").try_cast("bigint"), F.lit(0)),
     })
@@ -79,9 +85,9 @@ def session_velocity(transactions: DataFrame, idle_s: int = 300, late: str = "10
     return (transactions.withWatermark("timestamp", late)
             .groupBy("customer_id", F.session_window("timestamp", f"{idle_s} seconds").alias("s"))
             .agg(F.count(F.lit(1)).alias("txn_count"),
-                 F.sum(F.expr("cast(rint(amount * 100) as bigint)")).alias("cents"))
+                 F.sum(F.expr(units("amount"))).alias("units"))
             .select("customer_id", F.col("s.start").alias("session_start"), "txn_count",
-                    (F.col("cents") / 100.0).alias("amount")))
+                    (F.col("units") / float(UNIT)).alias("amount")))
 
 
 def suppress_repeats(requests: DataFrame, ttl: str = "60 seconds") -> DataFrame:
@@ -103,7 +109,7 @@ def rules_stream(messages: DataFrame, limits: RuleLimits = RuleLimits()) -> tupl
     # List state needs this store.
     messages.sparkSession.conf.set(STATE_STORE, ROCKSDB)
     decoded = M.decode(messages)
-    enriched = score_rules(stream_prior_activity(M.readable(decoded), limits), limits)
+    enriched = M.whole_record(score_rules(stream_prior_activity(M.readable(decoded, keep_raw=True), limits), limits))
     return decoded, enriched.observe(
         "rules", F.count(F.lit(1)).alias("processed"),
         F.count_if(F.col("rule_severity").isin("CRITICAL", "HIGH")).alias("alerts"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riskflow import schemas as S
 from riskflow.operators import features as X
-from riskflow.operators.frames import KeyedFrames, cents
+from riskflow.operators.frames import KeyedFrames, units
 from riskflow.operators.quantiles import frame_median
 
 DAY = 86400
@@ -38,7 +38,7 @@ def table(spark):
 def test_totals_distincts_and_sole_values(table, block_days):
     rows, df = table
     frames = (KeyedFrames("k", block_days).count("n_1h", 3600).count("n_30d", 30 * DAY)
-              .total("s_7d", 7 * DAY, cents("amount")).distinct("d_7d", 7 * DAY, "v").distinct("d_1h", 3600, "v")
+              .total("s_7d", 7 * DAY, units("amount")).distinct("d_7d", 7 * DAY, "v").distinct("d_1h", 3600, "v")
               .sole_values("sole", 30 * DAY, "coalesce(v, '')").first_second("first"))
     got = {r["transaction_id"]: r for r in frames.attach(df).collect()}
     assert len(got) == len(rows)
@@ -48,7 +48,7 @@ def test_totals_distincts_and_sole_values(table, block_days):
         g = got[i]
         assert g["n_1h"] == len(frame(3600))
         assert g["n_30d"] == len(frame(30 * DAY))
-        assert g["s_7d"] == sum(round(r[3] * 100) for r in frame(7 * DAY))
+        assert g["s_7d"] == sum(round(r[3] * 10_000) for r in frame(7 * DAY))
         assert g["d_7d"] == len({r[4] for r in frame(7 * DAY)} - {None})
         assert g["d_1h"] == len({r[4] for r in frame(3600)} - {None})
         alone = len([r for r in frame(30 * DAY) if r[4] == v]) <= 1
@@ -60,7 +60,7 @@ def test_totals_distincts_and_sole_values(table, block_days):
 def test_previous_row_and_day_totals(table, block_days):
     rows, df = table
     frames = (KeyedFrames("k", block_days).previous_row("struct(_t as ts, transaction_id as id)")
-              .max_day_total("top", cents("amount")).total_today("today", cents("amount")))
+              .max_day_total("top", units("amount")).total_today("today", units("amount")))
     got = {r["transaction_id"]: r for r in frames.attach(df).collect()}
     for i, k, t, _, _ in rows:
         mine = [r for r in rows if r[1] == k]
@@ -68,9 +68,9 @@ def test_previous_row_and_day_totals(table, block_days):
         assert (tuple(got[i]["_prev"]) if got[i]["_prev"] else None) == (max(before) if before else None)
         totals = {}
         for r in mine:
-            totals[r[2] // DAY] = totals.get(r[2] // DAY, 0) + round(r[3] * 100)
+            totals[r[2] // DAY] = totals.get(r[2] // DAY, 0) + round(r[3] * 10_000)
         assert got[i]["top"] == max(totals[r[2] // DAY] for r in mine if t - 30 * DAY <= r[2] <= t)
-        assert got[i]["today"] == sum(round(r[3] * 100) for r in mine if r[2] // DAY == t // DAY and r[2] <= t)
+        assert got[i]["today"] == sum(round(r[3] * 10_000) for r in mine if r[2] // DAY == t // DAY and r[2] <= t)
 
 
 @pytest.mark.parametrize("hot_rows", [10_000, 50, 0])

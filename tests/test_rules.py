@@ -61,9 +61,32 @@ def test_window_edge_slice_border_and_history_limit(spark):
     # 5 s apart: 60 earlier rows lie within 300 s, across the borders of the hourly slices.
     out = R.prior_activity(frame(spark, [{"amount": 1.0}] * 1500, step=5)).orderBy("transaction_id").collect()
     assert [r["prior_count"] for r in out] == [min(i, 60) for i in range(1500)]
-    dense = R.prior_activity(frame(spark, [{"amount": 2.0}] * 300, step=0)).orderBy("transaction_id").collect()
-    assert [r["prior_count"] for r in dense] == [min(i, 100) for i in range(300)]
-    assert dense[-1]["prior_amount"] == 200.0
+    rows = frame(spark, [{"amount": 2.0}] * 300, step=0)
+    dense = R.prior_activity(rows).orderBy("transaction_id").collect()
+    assert [(r["prior_count"], r["prior_amount"]) for r in dense] == [(i, 2.0 * i) for i in range(300)]
+    capped = R.prior_activity(rows, R.RuleLimits(history=100)).orderBy("transaction_id").collect()
+    assert [r["prior_count"] for r in capped] == [min(i, 100) for i in range(300)] and capped[-1]["prior_amount"] == 200.0
+
+
+def test_prior_activity_of_odd_rows(spark):
+    rows = frame(spark, [{"amount": a, "customer_id": c} for a, c in
+                         [(0.004, "c"), (None, "c"), (0.004, None), (0.0125, "c"), (1.0, None)]])
+    rows = rows.unionByName(rows.limit(1).withColumn("timestamp", F.lit(None).cast("timestamp")).withColumn("transaction_id", F.lit("x")))
+    got = {r["transaction_id"]: (r["prior_count"], r["prior_amount"]) for r in R.prior_activity(rows).collect()}
+    assert got == {"00000": (0, 0.0), "00001": (1, 0.004), "00002": (0, 0.0), "00003": (2, 0.004), "00004": (1, 0.004), "x": (0, 0.0)}
+
+
+def test_repeats_of_null_and_large_keys(spark):
+    rows = spark.createDataFrame([(None, 0), (None, 30), (None, 61), (2**60 + 1, 0), (2**60 + 1, 10), (2**60 + 3, 10)], "k long, s long")
+    out = R.first_within(rows.withColumn("timestamp", F.timestamp_seconds("s")), "k", 60)
+    assert sorted(((r["k"] or 0), r["_t"]) for r in out.collect()) == [(0, 0), (0, 61), (2**60 + 1, 0), (2**60 + 3, 10)]
+
+
+def test_session_mode_of_the_engine(spark):
+    rows = frame(spark, [{"amount": 60_000.0}] * 3, step=200)
+    assert [r["prior_count"] for r in R.run_rules(rows, mode="ttl_session").orderBy("transaction_id").collect()] == [0, 1, 2]
+    with pytest.raises(ValueError):
+        R.run_rules(rows, mode="other")
 
 
 def test_session_counter_starts_again_after_idle_time(spark):

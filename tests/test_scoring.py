@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,3 +82,21 @@ def test_gate_stops_on_duplicates(spark):
 def test_empty_table_has_no_null_rate(spark):
     df = spark.createDataFrame([], "transaction_id string, customer_id string, amount double, timestamp timestamp")
     assert quality.quality_metrics(df).first()["amount_null_rate"] == 0.0
+
+
+def test_thresholds_are_real_scores(spark):
+    rows = [(0.12346, 1)] * 50 + [(0.5 + i * 1e-7, 0) for i in range(40)] + [(0.01 * i, 0) for i in range(10)]
+    df = spark.createDataFrame(rows, "s double, y int")
+    cut = metrics.best_threshold(df, "s", "y", 0.92).first()["threshold"]
+    assert cut == 0.12346 and df.where((F.col("s") >= cut) & (F.col("y") == 1)).count() >= 0.92 * 50
+
+
+@pytest.mark.parametrize("ranges", [2, 7, 256])
+def test_curve_does_not_depend_on_its_ranges(spark, ranges):
+    rng = random.Random(4)
+    rows = [(rng.choice([round(rng.random(), 3), -5.0, 120.0, 0.3]), int(rng.random() < 0.3)) for _ in range(700)]
+    got = metrics._curve(spark.createDataFrame(rows, "s double, y int"), "s", "y", ranges=ranges).collect()
+    for r in got:
+        above = [y for s, y in rows if s >= r["threshold"]]
+        assert (r["tp"], r["predicted"], r["all_pos"], r["all_n"]) == (sum(above), len(above), sum(y for _, y in rows), 700)
+    assert len(got) == len({s for s, _ in rows})

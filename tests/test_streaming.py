@@ -12,7 +12,7 @@ def lines(start, n, **over):
     return [json.dumps({"transaction_id": str(start + i), "customer_id": "c" if i % 3 else "d", "amount": "60000.5",
                         "timestamp": f"2024-01-01 10:{(start + i) // 60:02d}:{(start + i) % 60:02d}",
                         "transaction_type": "UPI", "is_high_risk_merchant": i % 4 == 0, "card_present": i % 2 == 0,
-                        "is_international": False, "hour_of_day": 10, **over}) for i in range(n)]
+                        "is_international": False, "hour_of_day": 10, "device_id": "dev", "latitude": 1.25, **over}) for i in range(n)]
 
 
 def test_stream_equals_batch_over_a_restart(spark, tmp_path):
@@ -36,6 +36,8 @@ def test_stream_equals_batch_over_a_restart(spark, tmp_path):
     scored = sent.where(F.col("topic") == S.TOPIC_SCORED).select(*[
         F.get_json_object("value", f"$.{c}").cast("int") for c in ("transaction_id", "prior_count", "rule_based_score")]).collect()
     assert len(scored) == 180 and {tuple(r) for r in scored} == want
+    record = json.loads(sent.where(F.col("topic") == S.TOPIC_SCORED).first()["value"])
+    assert record["device_id"] == "dev" and record["latitude"] == 1.25 and "enriched_at" in record
     alerts = sent.where(F.col("topic") == S.TOPIC_ALERTS).count()
     assert alerts == expected.where("rule_severity in ('HIGH', 'CRITICAL')").count() > 0
     dead = J.read_sink(spark, str(tmp_path / "out"), "dead", "topic string, value string, reason string")
