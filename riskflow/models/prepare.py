@@ -68,7 +68,7 @@ def oversample(df: DataFrame, columns: list[str], ratio: float = 0.15, label: st
     minority, majority = counts.get(1, 0), counts.get(0, 0)
     wanted = int(ratio * majority) - minority
     if minority < 2 or wanted <= 0:
-        return df
+        return df.withColumn("is_synthetic", F.lit(False))
     few = df.where(F.col(label) == 1)
     scales = few.agg(*[F.stddev_pop(c).alias(c) for c in columns]).first()
     scaled = F.array(*[F.coalesce(F.col(c), F.lit(0.0)) / F.lit(scales[c] or 1.0) for c in columns])
@@ -102,9 +102,14 @@ def oversample(df: DataFrame, columns: list[str], ratio: float = 0.15, label: st
             .agg(F.first("_x").alias("_x"), F.first("o._x").alias("_nx"), F.min(distance).alias("_d"))
             .groupBy("_id").agg(F.first("_x").alias("_x"), F.slice(F.sort_array(F.collect_list(
                 F.struct("_d", "_nid", "_nx"))), 1, neighbours).alias("near")))
-    # Copies per row: the whole part for all, one more for the share that is left.
+    # A row without a near one is repeated as it is.
+    alone = F.array(F.struct(F.lit(0.0).alias("_d"), F.col("_id").alias("_nid"), F.col("_x").alias("_nx")))
+    best = points.select("_id", "_x").join(best.select("_id", "near"), "_id", "left").withColumn("near", F.coalesce("near", alone))
+    # Copies per row: the whole part for all, one more for as many as are left.
     whole, part = divmod(wanted, minority)
-    copies = F.lit(whole) + (bucket("_id", seed + 2) < int(part / minority * _BUCKETS)).cast("int")
+    extra = points.orderBy(bucket("_id", seed + 2), "_id").limit(part).select("_id", F.lit(1).alias("_more"))
+    best = best.join(extra, "_id", "left")
+    copies = F.lit(whole) + F.coalesce("_more", F.lit(0))
     made = best.select("_id", "_x", "near", F.explode(F.when(copies > 0, F.sequence(F.lit(1), copies))).alias("c"))
     draw = lambda tag, n: bucket(F.concat_ws(":", F.lit(tag), F.col("_id").cast("string"), F.col("c").cast("string")),
                                  seed, n)
