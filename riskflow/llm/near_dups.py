@@ -175,14 +175,16 @@ def shared_counts(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.nd
 
 def join_blocks(rows: pd.DataFrame, join: Join) -> pd.DataFrame:
     """``rep, hub, links`` of one pair of blocks: weighted links of each linked class, and a class it hangs together with."""
-    rows = rows.drop_duplicates(["rep", "key"], ignore_index=True)
+    sets = shingle_sets(rows["text"].tolist(), join.words)
+    mine = [set_key(s) == k for s, k in zip(sets, rows["key"], strict=True)]     # an id may have other texts, too
+    rows = rows.assign(place=np.arange(len(rows)))[mine].drop_duplicates(["rep", "key"], ignore_index=True)
+    sets = [sets[i] for i in rows["place"]]
     lo, hi = rows["lo"].iat[0], rows["hi"].iat[0]
     mine = np.flatnonzero(rows["own"] == lo)
     other = mine if lo == hi else np.flatnonzero(rows["own"] == hi)
     values = np.frombuffer(b"".join(rows["signature"]), np.uint32).reshape(len(rows), -1)
     a, b = surviving_pairs(values[mine], values[other], lo == hi, join)
     a, b = mine[a], other[b]
-    sets = shingle_sets(rows["text"].tolist(), join.words)
     size = np.array([len(s) for s in sets])
     shared = shared_counts(sets, a, b) if len(a) else np.zeros(0, np.int64)
     linked = shared >= join.threshold * (size[a] + size[b] - shared) - 1e-9
@@ -190,7 +192,9 @@ def join_blocks(rows: pd.DataFrame, join: Join) -> pd.DataFrame:
 
     copies = rows["copies"].to_numpy()
     links = np.bincount(a, copies[b], len(rows)) + np.bincount(b, copies[a], len(rows))
-    root = np.arange(len(rows))
+    reps, root = rows["rep"].to_numpy(), np.arange(len(rows))
+    _, first, same = np.unique(reps, return_index=True, return_inverse=True)
+    a, b = np.append(a, root), np.append(b, first[same])   # texts of one id are tied
     while True:                                            # smallest row number that a chain of links reaches
         before = root.copy()
         np.minimum.at(root, a, root[b])
@@ -199,7 +203,6 @@ def join_blocks(rows: pd.DataFrame, join: Join) -> pd.DataFrame:
         if (root == before).all():
             break
     hit = np.flatnonzero(links > 0)
-    reps = rows["rep"].to_numpy()
     return pd.DataFrame({"rep": reps[hit], "hub": reps[root[hit]], "links": links[hit].astype(np.int64)})
 
 

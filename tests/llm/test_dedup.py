@@ -138,6 +138,13 @@ def test_near_groups_of_copies_over_blocks(spark):
     assert Counter(tuple(r) for r in found.collect()) == near_truth(rows)
 
 
+def test_near_id_with_two_texts(spark):
+    a, b = passage(50, 90), passage(51, 90)
+    rows = [(1, a), (2, a + " more"), (3, b), (3, a + " tail"), (4, b + " end"), (5, passage(52, 90))]
+    got = near_dups.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.class_id) for r in got} == {(1, 1), (2, 1), (3, 1), (4, 1), (5, 5)}
+
+
 def test_near_stage(docs, no_docs):
     kept = near_dups.one_of_each_group(docs)
     assert kept.columns == docs.columns
