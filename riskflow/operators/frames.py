@@ -179,8 +179,9 @@ class KeyedFrames:
                 # The next sighting in the frame brings no entry of its own, also if it opens a block.
                 until = f"least(coalesce(_after + 1, {T} + {seconds + 1}), {T} + {seconds + 1})"
                 steps += [step(crosses, start, 1, _CARRY) for crosses, start in self._starts_within(until, seconds)]
-                out.append(seen.where("_value is not null").selectExpr("_key", f"inline(array({', '.join(steps)}))")
-                           .where(f"{T} is not null"))
+                moves = seen.where("_value is not null").selectExpr("_key", f"inline(array({', '.join(steps)}))").where(f"{T} is not null")
+                # One row per second also where very many values come or go within it.
+                out.append(moves.groupBy("_key", T, "_kind").agg(F.sum(name).alias(name)))
             for name, (v, seconds) in self._sole.items():
                 if v == value:
                     alone = seen.where(f"_n <= 1 and (_before is null or _before < {T} - {seconds})")
