@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from riskflow import schemas as S
@@ -51,6 +53,29 @@ def velocity_prior(spark, sf_dir):
     return R.prior_activity(transactions(spark, sf_dir), LIMITS).select("transaction_id", "prior_count", six("prior_amount"))
 
 
+@query("velocity_prior_dense", TX_CTE + """, few AS (SELECT transaction_id AS id, customer_id % 3 AS k, amount, t, "timestamp" AS ts FROM tx)
+SELECT a.id AS transaction_id, count(b.id) AS prior_count, round(CAST(coalesce(sum(CAST(b.amount AS DECIMAL(18,2))), 0) AS DOUBLE), 6) AS prior_amount
+FROM few a LEFT JOIN few b ON a.k = b.k AND b.t >= a.t - 172800 AND (b.ts < a.ts OR (b.ts = a.ts AND b.id < a.id)) GROUP BY 1""")
+def velocity_prior_dense(spark, sf_dir):
+    """Three customers, whose windows of two days hold far more than a hundred rows."""
+    few = transactions(spark, sf_dir).withColumn("customer_id", F.col("customer_id") % 3)
+    return R.prior_activity(few, R.RuleLimits(window_s=172800)).select("transaction_id", "prior_count", six("prior_amount"))
+
+
+_SESSION_CTE = TX_CTE + """, g AS (SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY customer_id ORDER BY "timestamp", transaction_id) < 21600 THEN 0 ELSE 1 END AS brk FROM tx),
+s AS (SELECT *, sum(brk) OVER (PARTITION BY customer_id ORDER BY "timestamp", transaction_id) AS sess FROM g),
+ruled AS (SELECT *, row_number() OVER (PARTITION BY customer_id, sess ORDER BY "timestamp", transaction_id) - 1 AS prior_count,
+  CAST(coalesce(sum(CAST(amount AS DECIMAL(18,2))) OVER (PARTITION BY customer_id, sess ORDER BY "timestamp", transaction_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE) AS prior_amount FROM s)
+"""
+
+
+@query("rule_engine_ttl", _SESSION_CTE + f"SELECT transaction_id, CAST(least({_POINTS}, 100) AS INT) AS rule_based_score FROM ruled".replace("prior_count >= 4", "prior_count >= 1"))
+def rule_engine_ttl(spark, sf_dir):
+    """The rules on activity since the customer was last idle."""
+    limits = R.RuleLimits(window_s=21600, max_txn=1)
+    return R.run_rules(transactions(spark, sf_dir), limits, mode="ttl_session").select("transaction_id", "rule_based_score")
+
+
 @query("velocity_ttl_session", TX_CTE + """, g AS (SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY customer_id ORDER BY "timestamp", transaction_id) < 21600 THEN 0 ELSE 1 END AS brk FROM tx),
 s AS (SELECT *, sum(brk) OVER (PARTITION BY customer_id ORDER BY "timestamp", transaction_id) AS sess FROM g)
 SELECT transaction_id, row_number() OVER (PARTITION BY customer_id, sess ORDER BY "timestamp", transaction_id) - 1 AS prior_count,
@@ -210,12 +235,13 @@ def stream_repeat_suppress(spark, sf_dir):
 def _run_rules_stream(spark, sf_dir, parts: int = 1):
     """Messages as files, one trigger per part; the stream is stopped and restarted between parts."""
     base = scratch_dir(spark, "rules-stream")
-    text = message_text(spark, sf_dir)
+    text = message_text(spark, sf_dir).withColumn("sent", F.get_json_object("value", "$.timestamp"))
+    # Consecutive time ranges of about as many messages arrive one after the other, unreadable ones with the first.
+    seconds = F.unix_timestamp("sent", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    edges = text.agg(F.percentile_approx(seconds, [i / parts for i in range(1, parts)]) if parts > 1 else F.array()).first()[0]
+    place = F.coalesce(reduce(lambda a, b: a + b, [(seconds >= e).cast("int") for e in edges], F.lit(0)), F.lit(0))
     for part in range(parts):
-        # Consecutive time ranges arrive one after the other.
-        cut = text.where(F.pmod(F.lit(part), F.lit(parts)) == 0) if parts == 1 else text.where(
-            F.coalesce(F.get_json_object("value", "$.timestamp") >= f"2024-01-{1 + part * 15:02d}", F.lit(part == 0))
-            & F.coalesce(F.get_json_object("value", "$.timestamp") < f"2024-01-{16 + part * 15:02d}", F.lit(part == 0)))
+        cut = text.where(place == part).select("value")
         cut.write.mode("append").text(f"{base}/in")
         source = M.message_stream(spark, "text", path=f"{base}/in", maxFilesPerTrigger="1000")
         for q in J.start_rules(source, f"{base}/out", f"{base}/checkpoint", LIMITS):
