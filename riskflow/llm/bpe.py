@@ -19,6 +19,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import cache, lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +30,11 @@ from pyspark.sql import functions as F
 
 from riskflow.llm.codes import blocks, code_points, runs
 from riskflow.llm.pretokens import piece_starts
-from riskflow.llm.tables import text_of
+from riskflow.llm.tables import store, text_of
 from riskflow.session import scratch_dir
 
 #: Words in the automaton, pieces that a worker remembers, and ids that are decoded at a time.
-LEXICON, REMEMBERED, DECODED = 50_000, 300_000, 500_000
+LEXICON, REMEMBERED, DECODED = 50_000, 450_000, 500_000
 
 
 def byte_signs() -> list[str]:
@@ -153,16 +154,17 @@ class Automaton:
         self.steps[state] = found = dict(zip(labels, zip(targets, adds, strict=True), strict=True))
         return found
 
-    def ids(self, word: bytes) -> np.ndarray | None:
+    def ids(self, word: bytes) -> list[int] | None:
         """Ids of an accepted word, else None."""
         state, number = 0, 0
+        steps = self.steps
         for byte in word:
-            step = (self.steps.get(state) or self._step(state)).get(byte)
+            step = (steps[state] if state in steps else self._step(state)).get(byte)
             if step is None:
                 return None
             state, number = step[0], number + step[1]
         p = self.parts
-        return p["ids"][p["id_start"][number]:p["id_start"][number + 1]] if p["final"][state] else None
+        return p["ids"][p["id_start"][number]:p["id_start"][number + 1]].tolist() if p["final"][state] else None
 
 
 class Encoder(dict):
@@ -175,9 +177,9 @@ class Encoder(dict):
 
     def forget(self) -> None:
         self.clear()
-        self.flat = pa.array([], pa.int32()).to_numpy(zero_copy_only=False)
+        self.flat = np.zeros(0, np.int32)
         self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.new: list = []
+        self.new: list[list[int]] = []
         self.slots = 0
 
     def __missing__(self, piece: str) -> int:
@@ -192,7 +194,7 @@ class Encoder(dict):
             sizes = np.fromiter(map(len, self.new), np.int64, len(self.new))
             self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
             self.sizes = np.concatenate([self.sizes, sizes])
-            self.flat = np.concatenate([self.flat, *[np.asarray(x, np.int32) for x in self.new]])
+            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(self.new), np.int32, sizes.sum())])
             self.new = []
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -250,9 +252,19 @@ def piece_counts(docs: DataFrame) -> DataFrame:
 
 
 def build_lexicon(docs: DataFrame, vocab_path: str, size: int = LEXICON) -> str:
-    """Compile the ``size`` most frequent pieces and hand the file to the executors; gives its name there."""
+    """Compile the most frequent pieces, at most ``size``, and hand the file to the executors; gives its name there.
+
+    Pieces of one frequency are all in or all out, so the choice is the same in every run.
+    """
     spark = docs.sparkSession
-    frequent = piece_counts(docs).orderBy(F.desc("n"), "piece").limit(size).collect()    # at most size pieces of 64 characters
+    counts = store(piece_counts(docs), "piece-counts")
+    least, room = 1, size
+    for row in counts.groupBy("n").agg(F.count("*").alias("pieces")).orderBy(F.desc("n")).toLocalIterator():
+        room -= row.pieces
+        if room < 0:
+            least = row.n + 1
+            break
+    frequent = counts.where(F.col("n") >= least).collect()          # at most size pieces of 64 characters
     vocab = vocabulary(vocab_path)
     automaton = Automaton.compile({r.piece.encode("utf-8", "replace"): vocab.merge(r.piece) for r in frequent})
     return share_file(spark, automaton.to_bytes())
