@@ -138,6 +138,7 @@ _group("merchant_features", ["merchant_txn_count_7d", "merchant_fraud_rate_30d",
                              "merchant_amount_deviation", "merchant_unique_cards_7d"], X.add_merchant_features)
 _group("days_since_last", ["days_since_last_txn"], X.add_temporal_features)
 _group("gold_features", S.ENGINEERED_FEATURES, X.build_features)
+_group("gold_features_blocks", S.ENGINEERED_FEATURES, lambda tx: X.build_features(tx, block_days=7))     # several blocks a key
 
 
 @query("median_30d", pick(["median_txn_amount_30d"]))
@@ -147,6 +148,14 @@ def median_30d(spark, sf_dir):
     return show(frames.attach(X.with_second(transactions(spark, sf_dir))), ["median_txn_amount_30d"])
 
 
+@query("median_30d_large_keys", pick(["median_txn_amount_30d"]))
+def median_30d_large_keys(spark, sf_dir):
+    """Every key takes the way of the large ones."""
+    frames = KeyedFrames("customer_id").per_second_value(
+        "median_txn_amount_30d", lambda rows: frame_median(rows, S.DAYS_30, "median_txn_amount_30d", hot_rows=0))
+    return show(frames.attach(X.with_second(transactions(spark, sf_dir))), ["median_txn_amount_30d"])
+
+
 @query("as_of_day_total", TX_CTE + f""", run AS (SELECT transaction_id, customer_id, t,
   CAST(sum(CAST(amount AS DECIMAL(18,2))) OVER (PARTITION BY customer_id, CAST("timestamp" AS DATE) ORDER BY t) AS DOUBLE) AS so_far FROM tx)
 SELECT transaction_id, round(max(so_far) OVER {_CUST30}, 6) AS max_single_day FROM run""")

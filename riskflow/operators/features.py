@@ -283,16 +283,20 @@ def add_temporal_features(df: DataFrame, fraud_hours=S.FRAUD_HOURS, weekend=S.WE
 
 def build_features(df: DataFrame, *, home_country: str = "IND", max_kmph: float = 900,
                    max_customers: int = 2, as_of: bool = False, exclude_current: bool = False,
-                   hot_rows: int = 2000, fraud_hours=S.FRAUD_HOURS, weekend=S.WEEKEND) -> DataFrame:
-    """All feature groups; rows are exchanged once per key."""
-    customer = KeyedFrames("customer_id")
+                   hot_rows: int = 2000, fraud_hours=S.FRAUD_HOURS, weekend=S.WEEKEND, block_days: int = 90) -> DataFrame:
+    """All feature groups; the rows themselves are exchanged once per key.
+
+    `df` is read once per part of a frame, so what is expensive to make should be stored before.
+    `block_days` bounds what one task sees of a key; it changes no result.
+    """
+    customer = KeyedFrames("customer_id", block_days)
     _ask_velocity(customer, as_of)
     _ask_behavior(customer, df.columns, hot_rows)
     _ask_geo(customer, home_country)
-    device, merchant = KeyedFrames("device_id"), KeyedFrames("merchant_id")
+    device, merchant = KeyedFrames("device_id", block_days), KeyedFrames("merchant_id", block_days)
     _ask_device(device, df.columns)
     _ask_merchant(merchant, df.columns)
-    address = KeyedFrames("ip_address").count("ip_txn_count_1h", S.HOUR)
+    address = KeyedFrames("ip_address", block_days).count("ip_txn_count_1h", S.HOUR)
 
     base = with_second(df)
     out = _resolve_previous(customer.attach(base))
