@@ -40,6 +40,20 @@ def test_stages(spark, tmp_path):
         before = after
 
 
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES, ids=[n for n, _ in corpus_pipeline.STAGES])
+def test_stages_on_odd_rows(spark, docs, no_docs, name, stage):
+    """Nulls, empty and long texts, repeated rows and clashing names; and no rows at all."""
+    rows, left = docs.count(), stage(spark, docs, SF)
+    assert stage(spark, no_docs, SF).count() == 0
+    if name == "best_fit_packing":
+        assert left.where("piece = 0").count() == rows
+        return
+    assert left.columns == docs.columns
+    kept = left.collect()
+    assert 0 < len(kept) <= rows and (len(kept) == rows or name != "line_dedup")
+    assert all(r.n_chars == len(r.text) for r in kept) or name != "line_dedup"
+
+
 def test_run_is_the_last_stage(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
     assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)}
