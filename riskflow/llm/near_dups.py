@@ -59,7 +59,7 @@ def _permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
 def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:
     """Sorted different shingle hashes of each text."""
     out: list[np.ndarray] = []
-    for a, b in blocks(texts):
+    for a, b in blocks(texts, 1 << 19):
         codes, edges = code_points([t.lower() for t in texts[a:b]])
         starts, ends = word_spans(codes, edges)
         hashes = span_hashes(prefix(codes), starts, ends)

@@ -25,6 +25,8 @@ from riskflow.llm.codes import blocks, code_points, mix, prefix, run_hashes, spa
 from riskflow.llm.tables import text_of
 
 
+#: Characters of texts taken at a time; a family of features needs some fifty bytes for each.
+SMALL = 1 << 18
 REPEAT = np.uint64(0x5DEECE66D << 27)
 
 
@@ -35,8 +37,8 @@ class Settings:
     grams: tuple[int, ...] = (3, 4, 5)
     epochs: int = 6
     rate: float = 2.0
-    sample_rows: int = 3000
-    sample_chars: int = 24_000_000
+    sample_rows: int = 2000
+    sample_chars: int = 16_000_000
     folds: int = 5
     seed: int = 7
     threshold: float = 0.3
@@ -80,12 +82,12 @@ def feature_parts(texts: list[str], settings: Settings) -> Iterator[tuple[np.nda
 def bags(texts: list[str], settings: Settings) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Per text its different buckets and the share of each among the text's features."""
     size = 1 << settings.bits
-    for a, b in blocks(texts):
+    for a, b in blocks(texts, SMALL):
         ids, owners = map(np.concatenate, zip(*feature_parts(texts[a:b], settings), strict=True))
         keys, counts = np.unique(owners * size + ids, return_counts=True)
         cuts = np.searchsorted(keys, np.arange(b - a + 1) * size)
         for i, j in zip(cuts[:-1], cuts[1:], strict=True):
-            yield keys[i:j] % size, (counts[i:j] / max(1, counts[i:j].sum())).astype(np.float32)
+            yield (keys[i:j] % size).astype(np.int32), (counts[i:j] / max(1, counts[i:j].sum())).astype(np.float32)
 
 
 def fit(texts: list[str], labels: list[int], weights: dict[int, float], settings: Settings) -> Model:
@@ -143,7 +145,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
 def scores(texts: list[str], model: Model) -> np.ndarray:
     """Probability of label 1 for each text."""
     out = np.zeros(len(texts))
-    for a, b in blocks(texts):
+    for a, b in blocks(texts, SMALL):
         total, count = np.zeros(b - a), np.zeros(b - a)
         for ids, owners in feature_parts(texts[a:b], model.settings):
             total += np.bincount(owners, model.parts[ids], b - a)

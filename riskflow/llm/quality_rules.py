@@ -151,7 +151,7 @@ def profiles(docs: DataFrame, common: dict[str, dict[str, int]], limits: Limits)
         for frame in frames:
             texts = frame["text"].tolist()
             refs = [r if r in lexicon else POOLED for r in frame["lang"]]
-            for a, b in blocks(texts):
+            for a, b in blocks(texts, 1 << 19):
                 got = text_counts(texts[a:b])
                 classes = got.pop("classes")
                 yield pd.DataFrame({"doc_id": frame["doc_id"].iloc[a:b].array, "ref": refs[a:b], **got, "class_counts": list(classes),
