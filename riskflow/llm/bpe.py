@@ -18,8 +18,9 @@ import json
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from functools import cache, lru_cache
+from functools import cache, cached_property, lru_cache
 from itertools import chain
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +29,13 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm.codes import blocks, code_points, runs
+from riskflow.llm.codes import code_points, runs, text_blocks
 from riskflow.llm.pretokens import piece_starts
 from riskflow.llm.tables import store, text_of
 from riskflow.session import scratch_dir
 
 #: Words in the automaton, pieces that a worker remembers, and ids that are decoded at a time.
-LEXICON, REMEMBERED, DECODED = 50_000, 450_000, 500_000
+LEXICON, REMEMBERED, DECODED = 50_000, 350_000, 500_000
 
 
 def byte_signs() -> list[str]:
@@ -45,14 +46,14 @@ def byte_signs() -> list[str]:
 
 
 class Vocabulary:
-    def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+    """Tokens by id, and the merge rules, which are loaded when a piece is first merged."""
 
+    def __init__(self, path: str) -> None:
+        self.path = path
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         signs = byte_signs()
         byte = {s: b for b, s in enumerate(signs)}
-        self.model = Tokenizer.from_file(path).model
         self.signs = {b: s for b, s in enumerate(signs)}
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         size = max([*spec["model"]["vocab"].values(), *self.added.values()]) + 1
@@ -64,6 +65,12 @@ class Vocabulary:
             self.bytes[i] = token.encode()
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
 
+    @cached_property
+    def model(self) -> Any:
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path).model
+
     def merge(self, piece: str) -> list[int]:
         """Ids of one piece by the merge rules."""
         spelt = piece.encode("utf-8", "replace").decode("latin-1").translate(self.signs)
@@ -238,9 +245,8 @@ def piece_counts(docs: DataFrame) -> DataFrame:
     """``piece, n`` over all texts."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for a, b in blocks(texts, 1 << 22):
-                whole, (codes, edges) = "".join(texts[a:b]), code_points(texts[a:b])
+            for _, _, texts in text_blocks(batch.column(0), 1 << 21):
+                whole, (codes, edges) = "".join(texts), code_points(texts)
                 starts = piece_starts(codes, edges).tolist()
                 found = Counter(whole[i:j] for i, j in zip(starts, [*starts[1:], len(whole)], strict=False))
                 # longer pieces are not worth a place in the automaton
@@ -287,9 +293,8 @@ def encode(docs: DataFrame, vocab_path: str, lexicon_file: str | None = None) ->
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(vocab_path, lexicon_file)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for a, b in blocks(texts):
-                ids, bounds = encoder.encode(texts[a:b])
+            for a, b, texts in text_blocks(batch.column("text"), 1 << 19):
+                ids, bounds = encoder.encode(texts)
                 lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), lists], ["doc_id", "ids"])
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 BASE = 0x9E3779B97F4A7C15 | 1
 BLOCK = 1 << 20
@@ -54,6 +56,12 @@ def blocks(texts: Sequence[str], limit: int = BLOCK) -> Iterator[tuple[int, int]
     return runs(map(len, texts), limit)
 
 
+def text_blocks(column: pa.Array, limit: int = BLOCK) -> Iterator[tuple[int, int, list[str]]]:
+    """Ranges of an Arrow column of texts with about ``limit`` bytes together, and their texts; only these are copied."""
+    for a, b in runs(pc.binary_length(column).to_pylist(), limit):
+        yield a, b, column.slice(a, b - a).to_pylist()
+
+
 def code_points(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     """Code points of all texts, and where each text starts, with the end as last entry."""
     edges = np.zeros(len(texts) + 1, np.int64)
