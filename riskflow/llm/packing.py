@@ -1,7 +1,7 @@
 """Best-fit packing of documents into fixed-length sequences, improved by swap-based local search.
 
 Documents become ids and an end mark; what is longer than a sequence is cut into full pieces, of which
-the first may be shorter. Spark deals the pieces evenly to groups of a bounded size. In a group each piece
+the first may be shorter. Spark deals the pieces evenly to tasks, which pack them in groups of a bounded size. In a group each piece
 goes to the fullest sequence that holds it, large ones first. Then the emptiest sequences give pieces to
 fuller ones, by moves and by exchanges of one for one, one for two and two for one, each of which raises
 the sum of squared fills; sequences that run empty are gone. The search ends when no exchange is left, or
@@ -24,11 +24,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from riskflow.llm.bpe import worker_encoder
-from riskflow.llm.codes import blocks
+from riskflow.llm.codes import text_blocks
 from riskflow.llm.tables import store, text_of
 
 CAPACITY, END_MARK = 2048, 0
-#: Pieces of one group, all held by one task, and sources drained in a row without one running empty before the search ends.
+#: Pieces of one group, which a task holds at a time, and sources drained in a row without one running empty before the search ends.
 GROUP, PATIENCE = 6_000, 200
 
 
@@ -40,9 +40,8 @@ def pieces(docs: DataFrame, vocab_path: str, capacity: int = CAPACITY) -> DataFr
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(vocab_path, None)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for a, b in blocks(texts):
-                ids, bounds = encoder.encode(texts[a:b])
+            for a, b, texts in text_blocks(batch.column("text"), 1 << 19):
+                ids, bounds = encoder.encode(texts)
                 rows = []
                 for i in range(b - a):
                     own = np.append(ids[bounds[i]:bounds[i + 1]], END_MARK).astype("<u4")
@@ -188,20 +187,36 @@ def pack(sizes: np.ndarray, capacity: int = CAPACITY) -> list[list[int]]:
 def pack_documents(docs: DataFrame, vocab_path: str, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
     """Every piece with its ``sequence_id`` and ``offset``."""
     cut = store(pieces(docs, vocab_path, capacity), "pieces")
-    groups = max(1, math.ceil(cut.count() / group))
+    spark = docs.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    tasks = min(tasks, max(1, math.ceil(cut.count() / group)))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = list(frames)                               # one group: a bounded number of pieces
-        if not parts:
-            return
-        frame = pd.concat(parts, ignore_index=True)
-        lengths = frame["length"].to_numpy()
-        sequence, offset = np.zeros(len(frame), np.int64), np.zeros(len(frame), np.int64)
-        for n, members in enumerate(pack(lengths, capacity)):
-            sequence[members] = n
-            offset[members] = np.cumsum(lengths[members]) - lengths[members]
-        yield frame.assign(sequence_id=(TaskContext.get().partitionId() << 32) + sequence, offset=offset)
+        number = TaskContext.get().partitionId() << 32
+        for frame in _groups(frames, group):
+            lengths = frame["length"].to_numpy()
+            sequence, offset = np.zeros(len(frame), np.int64), np.zeros(len(frame), np.int64)
+            for members in pack(lengths, capacity):
+                sequence[members] = number
+                offset[members] = np.cumsum(lengths[members]) - lengths[members]
+                number += 1
+            yield frame.assign(sequence_id=sequence, offset=offset)
 
     kind = cut.schema["doc_id"].dataType.simpleString()
-    return cut.repartition(groups).mapInPandas(
+    return cut.repartition(tasks).mapInPandas(
         run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+
+
+def _groups(frames: Iterable[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
+    """The rows of a task in groups of at most ``size``."""
+    kept: list[pd.DataFrame] = []
+    for frame in frames:
+        while len(frame):
+            room = size - sum(map(len, kept))
+            kept.append(frame.iloc[:room])
+            frame = frame.iloc[room:]
+            if sum(map(len, kept)) == size:
+                yield pd.concat(kept, ignore_index=True)
+                kept = []
+    if kept:
+        yield pd.concat(kept, ignore_index=True)
