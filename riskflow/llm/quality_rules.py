@@ -2,8 +2,9 @@
 
 A document has a histogram of character classes and one of the common words of its language. Both are
 compared with those of the language by Jensen-Shannon distance (base 2, 0 to 1); a text too short for
-a histogram is not judged by it. References are counted over all documents of a language; languages
-with less than a thousandth of all words, and documents without one, are held against all together.
+a histogram is not judged by it. References are counted over all documents of a language, whatever its
+share of the table. Words are not judged (null distance) where the language is null or has too few words
+for a reference. Rows without a language are held against the character classes of all documents.
 
 Null texts have no words. Rows are judged one by one, so repeated rows get equal results and a null
 id stays null. An empty table gives an empty result. Only ``doc_id``, ``text`` and ``lang`` are read.
@@ -28,21 +29,24 @@ from riskflow.llm.tables import store, text_of
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 CLASSES = ("lower", "upper", "letter", "digit", "space", "punctuation", "symbol", "other")
-POOLED = "*"
-PROFILE = ("doc_id {id}, ref string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+PROFILE = ("doc_id {id}, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
            "n_repeat_words long, n_chars long, class_counts array<long>, word_counts array<long>")
 
 
 @dataclass(frozen=True)
 class Limits:
-    """Least lengths and largest distances; ``common`` words make a language's word histogram."""
+    """Least lengths and largest distances; ``common`` words make a language's word histogram.
+
+    A language of ``min_reference_words`` words or more has a word reference. A thousand add a hundredth to
+    the chance distance of a text of 100 words.
+    """
 
     common: int = 50
     min_chars: int = 200
     max_class_distance: float = 0.28
     min_words: int = 100
     max_word_distance: float = 0.4
-    min_share: float = 0.001
+    min_reference_words: int = 1000
 
 
 @cache
@@ -56,27 +60,31 @@ def class_table() -> np.ndarray:
     return table
 
 
-def common_words(docs: DataFrame, limits: Limits) -> dict[str, dict[str, int]]:
-    """Per language its most frequent words (lower case) with counts, and under the empty word its total.
+def common_words(docs: DataFrame, limits: Limits) -> DataFrame:
+    """One row per language with words enough: hashes of its most frequent words (lower case), and their counts.
 
-    At most ``1 / min_share`` languages of ``common`` words reach the driver.
+    ``word_ref`` ends with the count of all other words and is filled up with zeros before it.
     """
-    words = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(POOLED)).alias("lang"),
-                        F.explode(F.regexp_extract_all(F.lower(text_of()), F.lit(WORD), F.lit(0))).alias("word"))
+    words = docs.where(F.col("lang").isNotNull()).select(
+        F.col("lang").cast("string").alias("lang"),
+        F.explode(F.regexp_extract_all(F.lower(text_of()), F.lit(WORD), F.lit(0))).alias("word"))
     counts = store(words.groupBy("lang", "word").agg(F.count("*").alias("n")), "word-counts")
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    everything = counts.agg(F.sum("n")).first()[0] or 0
-    large = totals.where((F.col("lang") != POOLED) & (F.col("total") >= limits.min_share * everything))
-    pooled = counts.groupBy("word").agg(F.sum("n").alias("n")).select(F.lit(POOLED).alias("lang"), "word", "n")
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total")).where(F.col("total") >= limits.min_reference_words)
     top = W.partitionBy("lang").orderBy(F.desc("n"), "word")
-    best = (counts.join(large, "lang", "left_semi").unionByName(pooled)
-            .withColumn("place", F.row_number().over(top)).where(F.col("place") <= limits.common))
-    found: dict[str, dict[str, int]] = {POOLED: {"": everything}}
-    for row in large.collect():
-        found[row.lang] = {"": row.total}
-    for row in best.orderBy("lang", "place").collect():
-        found[row.lang][row.word] = row.n
-    return found
+    best = (counts.withColumn("place", F.row_number().over(top)).where(F.col("place") <= limits.common).groupBy("lang")
+            .agg(F.sort_array(F.collect_list(F.struct("place", "word", "n"))).alias("best")))     # ``common`` entries at most
+    listed = F.transform("best", lambda x: x["n"])
+    rest = F.col("total") - F.aggregate(listed, F.lit(0).cast("long"), lambda s, x: s + x)
+    zeros = F.array_repeat(F.lit(0).cast("long"), F.lit(limits.common) - F.size("best"))
+    lists = best.join(totals, "lang").select("lang", F.transform("best", lambda x: x["word"]).alias("words"),
+                                             F.concat(listed, zeros, F.array(rest)).alias("word_ref"))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            keys = [hashes_of(list(w)).view(np.int64) for w in frame["words"]]
+            yield pd.DataFrame({"lang": frame["lang"], "keys": keys, "word_ref": frame["word_ref"]})
+
+    return store(lists.mapInPandas(run, "lang string, keys array<long>, word_ref array<long>"), "word-references")
 
 
 def _per_text(values: np.ndarray, places: np.ndarray, n: int) -> np.ndarray:
@@ -120,23 +128,22 @@ def text_counts(texts: list[str]) -> dict[str, np.ndarray]:
         "n_chars": np.diff(edges), "classes": np.bincount(classes, minlength=n * len(CLASSES)).reshape(n, -1)}
 
 
-def word_histograms(texts: list[str], refs: list[str], lexicon: dict[str, np.ndarray], common: int) -> np.ndarray:
-    """Counts of the reference's common words in each text; the last entry holds all other words."""
+def word_histograms(texts: list[str], langs: list[str | None], lexicon: dict[str, np.ndarray], common: int) -> list[np.ndarray | None]:
+    """Counts of the language's common words in each text; the last entry holds all other words. None without a reference."""
     lowered = [t.lower() for t in texts]
     codes, edges = code_points(lowered)
     starts, ends = word_spans(codes, edges)
     owner = np.searchsorted(edges, starts, "right") - 1
     hashes = span_hashes(prefix(codes), starts, ends)
     out = np.zeros((len(texts), common + 1), np.int64)
-    names = np.array(refs, object)
-    for ref in set(refs):
-        mine = (names == ref)[owner]
-        keys = lexicon[ref]
+    names = np.array(langs, object)
+    for lang, keys in lexicon.items():
+        mine = (names == lang)[owner]
         order = np.argsort(keys)
         at = np.minimum(np.searchsorted(keys[order], hashes[mine]), max(len(keys) - 1, 0))
         place = np.where(keys[order][at] == hashes[mine], order[at], common) if len(keys) else np.full(mine.sum(), common)
         np.add.at(out, (owner[mine], place), 1)
-    return out
+    return [row if lang in lexicon else None for lang, row in zip(langs, out, strict=True)]
 
 
 def hashes_of(words: list[str]) -> np.ndarray:
@@ -144,22 +151,21 @@ def hashes_of(words: list[str]) -> np.ndarray:
     return span_hashes(prefix(codes), edges[:-1], edges[1:])
 
 
-def profiles(docs: DataFrame, common: dict[str, dict[str, int]], limits: Limits) -> DataFrame:
-    lexicon = {ref: hashes_of([w for w in words if w]) for ref, words in common.items()}
-
+def profiles(docs: DataFrame, references: DataFrame, limits: Limits) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            texts = frame["text"].tolist()
-            refs = [r if r in lexicon else POOLED for r in frame["lang"]]
+            texts, langs, keys = frame["text"].tolist(), frame["lang"].tolist(), frame["keys"].tolist()
             for a, b in blocks(texts, 1 << 19):
                 got = text_counts(texts[a:b])
                 classes = got.pop("classes")
-                yield pd.DataFrame({"doc_id": frame["doc_id"].iloc[a:b].array, "ref": refs[a:b], **got, "class_counts": list(classes),
-                                    "word_counts": list(word_histograms(texts[a:b], refs[a:b], lexicon, limits.common))})
+                lexicon = {lang: np.asarray(k, np.int64).view(np.uint64) for lang, k in zip(langs[a:b], keys[a:b], strict=True) if k is not None}
+                yield pd.DataFrame({"doc_id": frame["doc_id"].iloc[a:b].array, "lang": langs[a:b], **got, "class_counts": list(classes),
+                                    "word_counts": word_histograms(texts[a:b], langs[a:b], lexicon, limits.common)})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     read = docs.select("doc_id", text_of().alias("text"), F.col("lang").cast("string").alias("lang"))
-    return read.mapInPandas(run, PROFILE.format(id=kind))
+    return read.join(references.select("lang", "keys"), "lang", "left").select("doc_id", "text", "lang", "keys").mapInPandas(
+        run, PROFILE.format(id=kind))
 
 
 def js_distance(left: Column, right: Column) -> Column:
@@ -178,18 +184,14 @@ def js_distance(left: Column, right: Column) -> Column:
 
 def quality_rules(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Base counts, distances and verdict, one row per row of ``docs``."""
-    common = common_words(docs, limits)
-    found = store(profiles(docs, common, limits), "profiles")
+    words = common_words(docs, limits)
+    found = store(profiles(docs, words, limits), "profiles")
     sums = [F.sum(F.get("class_counts", F.lit(i))).alias(f"c{i}") for i in range(len(CLASSES))]
     as_list = F.array(*[f"c{i}" for i in range(len(CLASSES))]).alias("class_ref")
-    classes = (found.where(F.col("ref") != POOLED).groupBy("ref").agg(*sums)
-               .unionByName(found.agg(*sums).select(F.lit(POOLED).alias("ref"), "*")).select("ref", as_list))
-    words = []
-    for ref, counts in common.items():
-        listed = [n for w, n in counts.items() if w]
-        words.append((ref, listed + [0] * (limits.common - len(listed)) + [counts[""] - sum(listed)]))
-    refs = classes.join(docs.sparkSession.createDataFrame(words, "ref string, word_ref array<long>"), "ref")
-    joined = found.join(F.broadcast(refs), "ref", "left")     # at most 1 / min_share + 1 rows of 60 numbers
+    classes = (found.where(F.col("lang").isNotNull()).groupBy("lang").agg(*sums)
+               .unionByName(found.agg(*sums).select(F.lit(None).cast("string").alias("lang"), "*")).select("lang", as_list))
+    refs = store(classes.join(words.select("lang", "word_ref"), "lang", "left").withColumnRenamed("lang", "of"), "references")
+    joined = found.join(refs, F.col("lang").eqNullSafe(F.col("of")), "left")
 
     class_distance = F.when(F.col("n_chars") >= limits.min_chars, js_distance(F.col("class_counts"), F.col("class_ref")))
     word_distance = F.when(F.col("n_words") >= limits.min_words, js_distance(F.col("word_counts"), F.col("word_ref")))

@@ -48,6 +48,20 @@ def test_rules_repeat_and_keep(spark):
     assert judged[(judged.quality == 0) & (judged.n_words >= 100)].kept.mean() < 0.1
 
 
+def test_rules_of_a_rare_language(spark):
+    """A language with a two-thousandth of all words has a reference of its own, and no language has none for words."""
+    rng = np.random.default_rng(9)
+    some = [" ".join(rng.choice([f"wort{a}{b}" for a in "abcdefgh" for b in "klmnopqrst"], 150)) for _ in range(12)]
+    rare = spark.createDataFrame([(i, t, "de") for i, t in enumerate(some)] + [(20, some[0], None), (21, "neu " * 150, "xx")], "doc_id long, text string, lang string")
+    many = spark.range(100, 1000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("the of and to in a is that was "), 450).alias("text"), F.lit("en").alias("lang"))
+    got = {r.doc_id: r for r in quality_rules.quality_rules(rare.union(many)).where("doc_id < 100").collect()}
+    alone = {r.doc_id: r for r in quality_rules.quality_rules(rare).collect()}
+    for i in range(12):
+        assert got[i].kept and got[i].word_distance == pytest.approx(alone[i].word_distance) and 0 < got[i].word_distance < 0.4
+        assert got[i].class_distance == pytest.approx(alone[i].class_distance)
+    assert got[20].word_distance is None and got[20].kept and got[21].word_distance is None
+
+
 def test_distance(spark):
     row = spark.createDataFrame([([3, 1, 0], [1, 1, 2], [0, 0, 0])], "p array<long>, q array<long>, z array<long>")
     got = row.select(quality_rules.js_distance(F.col("p"), F.col("q")), quality_rules.js_distance(F.col("p"), F.col("p")),
