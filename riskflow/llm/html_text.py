@@ -4,7 +4,8 @@ A page is read as a sequence of words and tags. Words score above zero, tags bel
 run with the largest sum is the content region. The scores are log odds learned from labelled pages,
 those whose markup names the article (one ``article`` or ``main`` element): how often each kind of
 token stands inside and outside. Defaults stand in as prior counts, so pages can be read without labels.
-Inside the region, elements that are never text (scripts, menus, forms, comments ...) are passed over.
+Elements that are never text (scripts, menus, forms, comments ...) are passed over, in the scan as in the
+output: neither their words nor their tags have a score.
 
 Null and empty pages give the empty text. Rows are read one by one, so repeated rows and ids give equal
 rows, and null ids stay null. An empty table gives an empty result. Columns other than ``page_id``,
@@ -57,7 +58,7 @@ def parse(page: str) -> list[tuple[str, str, bool]]:
         if m["text"] is not None:
             tokens.append(["text", m["text"], False])
         elif m["raw"]:
-            tokens += [["tag", m["raw"].lower(), False], ["tag", "/" + m["raw"].lower(), False]]
+            tokens += [["tag", m["raw"].lower(), True], ["tag", "/" + m["raw"].lower(), True]]
         elif m["name"]:
             name = m["name"].lower()
             at = len(tokens)
@@ -119,14 +120,16 @@ def _articles(tokens: list) -> list[tuple[int, int]]:
 
 
 def scored_units(tokens: list[tuple[str, str, bool]]) -> Iterator[tuple[int, str, int]]:
-    """Token index, kind and number of what is scored: visible words, and tags with hidden ones apart."""
+    """Token index, kind and number of what is scored: visible words and visible tags."""
     for i, (kind, value, hidden) in enumerate(tokens):
+        if hidden:
+            continue
         if kind == "text":
-            words = 0 if hidden else len(value.split())
+            words = len(value.split())
             if words:
                 yield i, "word", words
         else:
-            yield i, "hidden" if hidden else value, 1
+            yield i, value, 1
 
 
 def label_counts(page: str) -> Counter:
@@ -142,7 +145,7 @@ def label_counts(page: str) -> Counter:
 
 def learn_weights(pages: DataFrame) -> dict[str, float]:
     """Score of each kind of token, from all labelled pages; kinds other than HTML's own names count as one."""
-    known = {*BLOCKS, *NEVER_TEXT, *VOID, "a", "b", "i", "em", "strong", "span", "font", "small", "u", "code", "sup", "sub", "word", "hidden"}
+    known = {*BLOCKS, *NEVER_TEXT, *VOID, "a", "b", "i", "em", "strong", "span", "font", "small", "u", "code", "sup", "sub", "word"}
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = Counter()

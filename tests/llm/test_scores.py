@@ -123,6 +123,20 @@ def test_page_text():
     assert html_text.main_text("<div class=ad>never closed<p>real words come here</p>", weights) == "real words come here"
 
 
+def test_passed_over_elements_cost_nothing(spark):
+    """With learned weights, neither a short title nor a short last paragraph is cut off by what stands between."""
+    weights = html_text.learn_weights(table(spark, SF, "pages"))
+    links = "<aside><ul>" + "".join(f'<li><a href="/{i}">Other thing {i}</a></li>' for i in range(6)) + "</ul></aside>"
+    share = '<div class="share">' + '<a href="/s"><span>x</span></a>' * 3 + "</div>"
+    advert = '<div class="ad"><a href="/ad"><img src="x"><b>Buy</b> it</a></div>' * 4 + "<script>show(1)</script>"
+    form = "<form>" + "<label>Name</label><input><br>" * 5 + "<button>Send</button></form>"
+    for between in (links, share, advert, form, links + share + advert + form):
+        body = "<p>" + "plain words of the text " * 40 + "</p>"
+        page = f"<html><body><nav>{links}</nav><article><h1>A title</h1>{between}{body}{between}<p>Short last one.</p></article><footer>{links}</footer></body></html>"
+        got = html_text.main_text(page, weights).split("\n")
+        assert got == ["A title", " ".join(["plain words of the text"] * 40), "Short last one."]
+
+
 def test_region_is_the_largest_sum():
     rng = np.random.default_rng(4)
     weights = {"word": 1.0, "b": -0.7, "div": -2.5, "/div": -2.5, "other": -1.0}
