@@ -1,4 +1,7 @@
-"""Model queries, on features that need no frame so that fitting is what takes the time."""
+"""Model queries: the operators with their defaults on all model features of the gold table.
+
+Splitting, sampling, scaling and calibration are checked on features that need no frame.
+"""
 
 from __future__ import annotations
 
@@ -11,14 +14,16 @@ from riskflow.functions import columns as C
 from riskflow.models import ensemble as E
 from riskflow.models import forest as I
 from riskflow.models import prepare as P
+from riskflow.operators import features as X
+from riskflow.operators.rules import run_rules
 from riskflow.plans import jobs
+from riskflow.schemas import MODEL_FEATURES
 from riskflow.session import scratch_dir
 from riskflow.sources import tables as IO
 from riskflow.sources.testdata import TX_CTE, transactions
 
 COLUMNS = ["amount", "hour_of_day", "day_of_week", "is_international", "card_present", "latitude", "longitude",
            "typical_amount_band", "merchant_risk_tier", "is_atm"]
-SMALL = {"rounds": 5, "depth": 3}
 
 
 def training_rows(spark, sf_dir):
@@ -29,8 +34,15 @@ def training_rows(spark, sf_dir):
     return P.assign_split(tx.select("transaction_id", "timestamp", *COLUMNS, "is_fraud"))
 
 
+def gold_rows(spark, sf_dir):
+    """The gold table, stored once, as the fits read it many times."""
+    path = scratch_dir(spark, "gold")
+    IO.write_layer(X.gold_table(X.build_features(run_rules(transactions(spark, sf_dir)))), path)
+    return IO.read_layer(spark, path)
+
+
 def _parts(spark, sf_dir):
-    rows = training_rows(spark, sf_dir)
+    rows = P.assign_split(gold_rows(spark, sf_dir))
     return [rows.where(F.col("split") == s).drop("split") for s in ("train", "validation", "test")]
 
 
@@ -86,22 +98,22 @@ def oversample_minority(spark, sf_dir):
 @query("gbt_primary")
 def gbt_primary(spark, sf_dir):
     train, validation, test = _parts(spark, sf_dir)
-    model = E.fit_primary(train, validation, COLUMNS, **SMALL)
+    model = E.fit_primary(train, validation, MODEL_FEATURES)
     return model.probability(test, "p").select("transaction_id", six("p"), (F.col("p") >= model.threshold).cast("int").alias("prediction"))
 
 
 @query("gbt_challenger")
 def gbt_challenger(spark, sf_dir):
     train, validation, test = _parts(spark, sf_dir)
-    model = E.fit_challenger(train, validation, COLUMNS, **SMALL)
+    model = E.fit_challenger(train, validation, MODEL_FEATURES)
     return model.probability(test, "p").select("transaction_id", six("p"), (F.col("p") >= model.threshold).cast("int").alias("prediction"))
 
 
 @query("iforest_score")
 def iforest_score(spark, sf_dir):
-    rows = training_rows(spark, sf_dir)
-    forest = I.fit_forest(rows, COLUMNS, trees=50)
-    return forest.transform(rows.select("transaction_id", *COLUMNS)).select("transaction_id", six("anomaly_score"))
+    rows = gold_rows(spark, sf_dir)
+    forest = I.fit_forest(rows, MODEL_FEATURES)
+    return forest.transform(rows.select("transaction_id", *MODEL_FEATURES)).select("transaction_id", six("anomaly_score"))
 
 
 @query("platt")
@@ -115,11 +127,11 @@ def platt(spark, sf_dir):
 @query("param_search")
 def param_search(spark, sf_dir):
     train, _, _ = _parts(spark, sf_dir)
-    return E.search(train, COLUMNS, trials=2, folds=3, max_rounds=4)
+    return E.search(train, MODEL_FEATURES)
 
 
 def _ensemble(train, validation):
-    return E.Ensemble(COLUMNS, options={"primary": SMALL, "challenger": SMALL, "forest": {"trees": 25}}).fit(train, validation)
+    return E.Ensemble(MODEL_FEATURES).fit(train, validation)
 
 
 @query("ensemble_fit")
@@ -143,12 +155,12 @@ def train_e2e(spark, sf_dir):
 @query("batch_score", TX_CTE + "SELECT count(*) AS n, CAST(0 AS BIGINT) AS other_band FROM tx")
 def batch_score(spark, sf_dir):
     """The scoring job on a stored ensemble: all rows are scored, each in the band of its score."""
-    train, validation, _ = _parts(spark, sf_dir)
+    gold = gold_rows(spark, sf_dir)
+    rows = P.assign_split(gold)
+    train, validation = [rows.where(F.col("split") == s).drop("split") for s in ("train", "validation")]
     path = scratch_dir(spark, "scoring")
     _ensemble(train, validation).save(spark, f"{path}/model")
-    other = ["velocity_spike", "is_impossible_travel", "is_new_device", "is_new_country", "is_mcc_high_risk", "multi_account_device",
-             "is_fraud_hour", "amount_ratio_to_avg", "amt_zscore_30d", "pct_cnp_30d"]     # what the fallback reads
-    IO.write_layer(training_rows(spark, sf_dir).withColumns({c: F.lit(0.0) for c in other}), f"{path}/gold")
+    IO.write_layer(gold, f"{path}/gold")
     summary = jobs.batch_score(spark, f"{path}/gold", f"{path}/scored", f"{path}/model")
     assert set(summary.columns) >= {"risk_band"}
     stored = IO.read_layer(spark, f"{path}/scored")
@@ -159,4 +171,4 @@ def batch_score(spark, sf_dir):
 @query("top_features")
 def top_features(spark, sf_dir):
     train, validation, test = _parts(spark, sf_dir)
-    return E.importance(E.fit_primary(train, validation, COLUMNS, **SMALL), test)
+    return E.importance(E.fit_primary(train, validation, MODEL_FEATURES), test)

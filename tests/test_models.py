@@ -77,3 +77,28 @@ def test_calibration_is_skipped_without_enough_positives(rows):
     assert E.calibrate(few, "x") is None
     a, _ = E.calibrate(rows, "x")
     assert a > 0 and np.isfinite(a)
+
+
+def test_queries_run_the_operators_with_their_defaults(spark, monkeypatch):
+    """The registered fits read all model features of the gold table and pass no smaller number of rounds, trees or trials."""
+    from riskflow.catalog import models as Q
+    from riskflow.catalog.registry import QUERIES
+    from riskflow.schemas import MODEL_FEATURES
+
+    class Reached(Exception):
+        pass
+
+    def reached(*args, **options):
+        seen.append(([a for a in args if isinstance(a, list)], options))
+        raise Reached
+
+    seen = []
+    gold = spark.range(10).selectExpr("id as transaction_id", "cast(id % 2 as int) as is_fraud", *[f"0D as {c}" for c in MODEL_FEATURES])
+    monkeypatch.setattr(Q, "gold_rows", lambda spark, sf_dir: gold)
+    for module, name in ((E, "fit_primary"), (E, "fit_challenger"), (E, "search"), (I, "fit_forest")):
+        monkeypatch.setattr(module, name, reached)
+    names = ["gbt_primary", "gbt_challenger", "iforest_score", "param_search", "ensemble_fit", "train_e2e", "batch_score", "top_features"]
+    for name in names:
+        with pytest.raises(Reached):
+            QUERIES[name](spark, "")
+    assert seen == [([MODEL_FEATURES], {})] * len(names)
