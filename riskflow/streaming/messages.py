@@ -96,3 +96,13 @@ def to_output_topics(enriched: DataFrame) -> DataFrame:
         F.explode(C.output_topics(F.col("rule_severity"))).alias("topic"),
         F.coalesce(F.col("customer_id").cast("string"), F.lit("unknown")).alias("key"),
         F.to_json(F.struct(*enriched.columns)).alias("value"))
+
+
+def to_topics_or_dead(enriched: DataFrame) -> DataFrame:
+    """As `to_output_topics`, with the message of a late row to the dead letters, and the reason of that."""
+    late = F.col("late").isNotNull()
+    return enriched.select(
+        F.explode(F.when(late, F.array(F.lit(S.TOPIC_DEAD_LETTER))).otherwise(C.output_topics(F.col("rule_severity")))).alias("topic"),
+        F.coalesce(F.col("customer_id").cast("string"), F.lit("unknown")).alias("key"),
+        F.when(late, F.col("late")).otherwise(F.to_json(F.struct(*[c for c in enriched.columns if c != "late"]))).alias("value"),
+        F.when(late, "late").alias("reason"))

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from riskflow.functions import columns as C
 from riskflow.operators.frames import UNIT, units
 from riskflow.operators.rules import RuleLimits, score_rules
 from riskflow.session import ROCKSDB, STATE_STORE, scratch_dir
@@ -26,57 +25,65 @@ _OUT = T.StructType([
     T.StructField("is_high_risk_merchant", T.BooleanType()), T.StructField("card_present", T.BooleanType()),
     T.StructField("is_international", T.BooleanType()), T.StructField("hour_of_day", T.IntegerType()),
     T.StructField("prior_count", T.LongType()), T.StructField("prior_amount", T.DoubleType()),
-    T.StructField("payload", T.StringType()),
+    T.StructField("payload", T.StringType()), T.StructField("late", T.StringType()),
 ])
-_STATE = T.StructType([T.StructField("t", T.LongType()), T.StructField("units", T.LongType())])
+_STATE = T.StructType([T.StructField("micros", T.LongType()), T.StructField("units", T.LongType())])
 
 
 class PriorActivity(StatefulProcessor):
-    """Keeps the (second, amount) pairs of a customer that a later row can still look back to, or the last `history` of them.
+    """Keeps the (time, amount) pairs of a customer that a later row can still look back to.
 
-    A micro-batch brings the rows of a customer in no order, so they are put in order of time and
-    id first; the trigger limits of the source bound how many there can be.
+    A row may come up to `late_s` seconds behind the newest one that earlier micro-batches brought for its
+    customer, and counts the rows before its own time. One that is further behind carries its message in
+    `late`, for the dead letters, and is not counted. A micro-batch brings the rows of a customer in no order,
+    so they are put in order of time and id first; the trigger limits of the source bound how many there can be.
     """
 
-    def __init__(self, window_s: int, history: int | None):
-        self.window_s, self.history = window_s, history
+    def __init__(self, window_s: int, history: int | None, late_s: int):
+        self.window_s, self.history, self.late_s = window_s, history, late_s
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getListState("seen", _STATE)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["timestamp", "id_number", "transaction_id"])
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["micros", "id_number", "transaction_id"], ignore_index=True)
         old = list(self.seen.get())
-        t_new, c_new = pdf["second"].to_numpy("int64"), pdf["units"].to_numpy("int64")
-        t = np.concatenate([np.array([r[0] for r in old], "int64"), t_new])
-        c = np.concatenate([np.array([r[1] for r in old], "int64"), c_new])
+        at_old, at_new = np.array([r[0] for r in old], "int64"), pdf["micros"].to_numpy("int64")
+        late = at_new < (at_old.max() - self.late_s * 1_000_000 if len(old) else np.iinfo("int64").min)
+        at = np.concatenate([at_old, at_new[~late]])
+        c = np.concatenate([np.array([r[1] for r in old], "int64"), pdf["units"].to_numpy("int64")[~late]])
+        order = np.argsort(at, kind="stable")
+        t, c = at[order] // 1_000_000, c[order]
         total = np.concatenate([[0], np.cumsum(c)])
-        here = np.arange(len(old), len(t))
-        # Rows are in time order, so those that still count are a suffix of what came before.
-        start = np.searchsorted(np.maximum.accumulate(t), t_new - self.window_s)
-        kept = t >= t.max() - self.window_s
+        here = np.empty(len(at), "int64")
+        here[order] = np.arange(len(at))
+        here = here[len(old):]                    # places of the new rows among all, in order of time
+        start = np.searchsorted(t, t[here] - self.window_s)
+        first = np.searchsorted(t, t[-1] - self.late_s - self.window_s) if len(t) else 0
         if self.history is not None:
             start = np.maximum(start, here - self.history)
-            kept[:-self.history] = False
-        pdf["prior_count"] = here - start
-        pdf["prior_amount"] = (total[here] - total[start]) / UNIT
-        self.seen.put([(int(a), int(b)) for a, b in zip(t[kept], c[kept], strict=True)])
+            first = max(first, np.searchsorted(t, t[-1] - self.late_s) - self.history) if len(t) else 0
+        pdf["prior_count"], pdf["prior_amount"] = 0, 0.0
+        pdf.loc[~late, "prior_count"] = here - start
+        pdf.loc[~late, "prior_amount"] = (total[here] - total[start]) / UNIT
+        pdf["late"] = pdf["payload"].astype(object).where(late, None)
+        self.seen.put([(int(a), int(b)) for a, b in zip(at[order][first:], c[first:], strict=True)])
         yield pdf[_OUT.fieldNames()]
 
     def close(self) -> None:
         pass
 
 
-def stream_prior_activity(transactions: DataFrame, limits: RuleLimits = RuleLimits()) -> DataFrame:
-    """Stream form of `operators.rules.prior_activity`."""
+def stream_prior_activity(transactions: DataFrame, limits: RuleLimits = RuleLimits(), late_s: int = 600) -> DataFrame:
+    """Stream form of `operators.rules.prior_activity`; `late` holds the message of a row that came too late."""
     prepared = transactions.withColumns({
-        "second": C.epoch("timestamp"),
+        "micros": F.unix_micros("timestamp"),
         "units": F.expr(units("amount")),
         # Ids that are numbers are ordered as numbers.
         "id_number": F.coalesce(F.col("transaction_id").try_cast("bigint"), F.lit(0)),
     })
     return prepared.groupBy("customer_id").transformWithStateInPandas(
-        statefulProcessor=PriorActivity(limits.window_s, limits.history), outputStructType=_OUT,
+        statefulProcessor=PriorActivity(limits.window_s, limits.history, late_s), outputStructType=_OUT,
         outputMode="append", timeMode="none")
 
 
@@ -95,7 +102,7 @@ def suppress_repeats(requests: DataFrame, ttl: str = "60 seconds") -> DataFrame:
     return requests.withWatermark("timestamp", ttl).dropDuplicatesWithinWatermark(["transaction_id"])
 
 
-def write_batch(decoded: DataFrame, out: str, batch_id: int, kind: str) -> None:
+def write_batch(decoded: DataFrame, out: str, batch_id: int | str, kind: str) -> None:
     """One micro-batch into its own folder; a batch that is run again replaces what it wrote."""
     decoded.write.mode("overwrite").parquet(f"{out}/{kind}/batch={batch_id}")
 
@@ -111,9 +118,9 @@ def rules_stream(messages: DataFrame, limits: RuleLimits = RuleLimits()) -> tupl
     decoded = M.decode(messages)
     enriched = M.whole_record(score_rules(stream_prior_activity(M.readable(decoded, keep_raw=True), limits), limits))
     return decoded, enriched.observe(
-        "rules", F.count(F.lit(1)).alias("processed"),
-        F.count_if(F.col("rule_severity").isin("CRITICAL", "HIGH")).alias("alerts"),
-        F.count_if(F.col("requires_ml_scoring")).alias("for_model"))
+        "rules", F.count_if(F.col("late").isNull()).alias("processed"),
+        F.count_if(F.col("late").isNull() & F.col("rule_severity").isin("CRITICAL", "HIGH")).alias("alerts"),
+        F.count_if(F.col("late").isNull() & F.col("requires_ml_scoring")).alias("for_model"))
 
 
 def start_kafka(messages: DataFrame, servers: str, checkpoint: str, limits: RuleLimits = RuleLimits()) -> list[StreamingQuery]:
@@ -121,7 +128,7 @@ def start_kafka(messages: DataFrame, servers: str, checkpoint: str, limits: Rule
     decoded, enriched = rules_stream(messages, limits)
     return [df.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
             .option("checkpointLocation", f"{checkpoint}/{name}").start()
-            for name, df in (("routed", M.to_output_topics(enriched)), ("dead", M.dead_letters(decoded).drop("reason")))]
+            for name, df in (("routed", M.to_topics_or_dead(enriched).drop("reason")), ("dead", M.dead_letters(decoded).drop("reason")))]
 
 
 def start_rules(messages: DataFrame, out: str, checkpoint: str, limits: RuleLimits = RuleLimits(),
@@ -135,9 +142,16 @@ def start_rules(messages: DataFrame, out: str, checkpoint: str, limits: RuleLimi
     def sink(kind: str):
         return lambda df, batch_id: write_batch(df, out, batch_id, kind)
 
+    def both(df: DataFrame, batch_id: int) -> None:
+        """Late rows join the dead letters, in folders beside those of the other query."""
+        df.persist()                              # the state is read once
+        write_batch(df.where(F.col("reason").isNull()).drop("reason"), out, batch_id, "routed")
+        write_batch(df.where(F.col("reason").isNotNull()).select("topic", "value", "reason"), out, f"late-{batch_id}", "dead")
+        df.unpersist()
+
     queries = []
-    for kind, df in (("routed", M.to_output_topics(enriched)), ("dead", M.dead_letters(decoded))):
-        writer = df.writeStream.foreachBatch(sink(kind)).option("checkpointLocation", f"{checkpoint}/{kind}")
+    for kind, df in (("routed", M.to_topics_or_dead(enriched)), ("dead", M.dead_letters(decoded))):
+        writer = df.writeStream.foreachBatch(both if kind == "routed" else sink(kind)).option("checkpointLocation", f"{checkpoint}/{kind}")
         queries.append((writer.trigger(availableNow=True) if available_now else writer).start())
     return queries
 

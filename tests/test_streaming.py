@@ -44,6 +44,23 @@ def test_stream_equals_batch_over_a_restart(spark, tmp_path):
     assert sorted(r["reason"] for r in dead.collect()) == ["amount", "malformed"]
 
 
+def test_late_rows_count_their_own_window_or_are_dead_letters(spark, tmp_path):
+    def message(i, time):
+        return json.dumps({"transaction_id": str(i), "customer_id": "c", "amount": "10", "timestamp": f"2024-01-01 {time}"})
+
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    for part, text in enumerate([[message(1, "10:00:00"), message(2, "10:01:00"), message(3, "10:09:30")], [message(4, "10:01:30"), message(5, "09:59:00")]]):
+        (inbox / f"{part}.txt").write_text("\n".join(text))
+        for q in J.start_rules(M.message_stream(spark, "text", path=str(inbox)), str(tmp_path / "out"), str(tmp_path / "cp"), RuleLimits(window_s=60)):
+            q.awaitTermination()
+    sent = J.read_sink(spark, str(tmp_path / "out"), "routed", "topic string, key string, value string").where(F.col("topic") == S.TOPIC_SCORED)
+    found = [json.loads(r["value"]) for r in sent.collect()]
+    assert {(r["transaction_id"], r["prior_count"]) for r in found} == {("1", 0), ("2", 1), ("3", 0), ("4", 1)}
+    dead = J.read_sink(spark, str(tmp_path / "out"), "dead", "topic string, value string, reason string").collect()
+    assert [(json.loads(r["value"])["transaction_id"], r["reason"]) for r in dead] == [("5", "late")]
+
+
 def test_input_topics(spark):
     df = spark.sql("""select * from values ('a', 500000.0D, true), ('b', 500000.01D, true), ('c', 1.0D, false), ('d', 1.0D, null)
                       t(customer_id, amount, is_international)""")
