@@ -100,3 +100,16 @@ def run_hashes(words: np.ndarray, n: int) -> np.ndarray:
     for k in range(n):
         out = out * np.uint64(BASE) + words[k:k + size]
     return mix(out)
+
+
+def window_hashes(sums: np.ndarray, n: int) -> np.ndarray:
+    """Hash of each ``n`` neighbouring values, from their running sum."""
+    size = max(0, len(sums) - n)
+    _, down = _Powers.get(len(sums))
+    return mix((sums[n:n + size] - sums[:size]) * down[:size])
+
+
+def run_edges(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last of each run of consecutive whole numbers."""
+    cut = np.flatnonzero(np.diff(places) != 1)
+    return (places[np.concatenate([[0], cut + 1])], places[np.concatenate([cut, [-1]])]) if len(places) else (places, places)

@@ -18,6 +18,7 @@ from riskflow.llm.quality_model import score_quality, train
 from riskflow.llm.quality_rules import quality_rules
 from riskflow.llm.tables import table
 from riskflow.llm.warc import archive_round_trip
+from riskflow.llm.word_runs import periodic_runs
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -123,3 +124,8 @@ SELECT conv_id, perspective, part, count(*) AS n_turns, string_agg(head || body
 FROM w GROUP BY conv_id, perspective, part""")
 def op4_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perspectives(table(spark, sf_dir, "conversations")).withColumn("mask", span_list("mask"))
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs(table(spark, sf_dir, "documents"), planted=True)
