@@ -12,8 +12,10 @@ from riskflow.llm.chat_views import perspectives
 from riskflow.llm.exact_dedup import exact_groups
 from riskflow.llm.html_text import extract
 from riskflow.llm.line_dedup import drop_repeats
+from riskflow.llm.minmax_dups import near_duplicates as minmax_near_duplicates
 from riskflow.llm.near_dups import near_duplicates
 from riskflow.llm.packing import pack_documents
+from riskflow.llm.prefix_trie import prefix_trie
 from riskflow.llm.quality_model import score_quality, train
 from riskflow.llm.quality_rules import quality_rules
 from riskflow.llm.tables import table
@@ -129,3 +131,13 @@ def op4_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_periodic_runs")
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs(table(spark, sf_dir, "documents"), planted=True)
+
+
+@query("op11_minmax_near_dups")
+def op11_minmax_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax_near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op12_prefix_trie")
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
