@@ -95,18 +95,43 @@ def op6_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_line_dedup", r"""
 WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
                   generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
-     n AS (SELECT *, trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g')) AS norm,
-                  sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY pos) - length(line) - 1 AS place FROM l),
-     r AS (SELECT *, len(string_split(norm, ' ')) >= 4 AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, pos) > 1 AS gone FROM n)
-SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text, sum(gone::BIGINT)::BIGINT AS n_removed,
-       coalesce(string_agg(place::BIGINT::VARCHAR || '-' || (place + length(line))::BIGINT::VARCHAR, ',' ORDER BY pos) FILTER (WHERE gone), '') AS removed
-FROM r GROUP BY doc_id""")
+     t AS (SELECT *, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY pos) - length(line) - 1 AS line_at,
+                  regexp_extract_all(line, '.*?(?:[.!?][\x20\x09-\x0D]+|[\x{3002}\x{FF01}\x{FF1F}][\x20\x09-\x0D]*)|.+') AS parts FROM l),
+     s AS (SELECT doc_id, pos, line_at, unnest(parts) AS part, generate_subscripts(parts, 1) AS i FROM t),
+     n AS (SELECT *, trim(regexp_replace(lower(part), '[\x20\x09-\x0D]+', ' ', 'g')) AS norm, regexp_extract_all(lower(part), '[^\x20\x09-\x0D]+') AS w,
+                  line_at + sum(length(part)) OVER (PARTITION BY doc_id, pos ORDER BY i) - length(part) AS place FROM s),
+     m AS (SELECT *, len(w) >= 12 OR len(list_filter(w, lambda x: length(x) >= 40)) > 0 AS whole,
+                  lag(norm) OVER line AS before, lag(len(w)) OVER line AS n_before, lead(norm) OVER line AS behind, lead(len(w)) OVER line AS n_behind
+           FROM n WINDOW line AS (PARTITION BY doc_id, pos ORDER BY i)),
+     k AS (SELECT doc_id, pos, i, '=' || norm AS unit FROM m WHERE whole
+           UNION ALL SELECT doc_id, pos, i, '<' || before || chr(10) || norm FROM m WHERE NOT whole AND len(w) > 0 AND n_before + len(w) >= 12
+           UNION ALL SELECT doc_id, pos, i, '>' || norm || chr(10) || behind FROM m WHERE NOT whole AND len(w) > 0 AND n_behind + len(w) >= 12),
+     r AS (SELECT doc_id, pos, i, row_number() OVER (PARTITION BY unit ORDER BY doc_id, pos, i) > 1 AS again FROM k),
+     g AS (SELECT doc_id, pos, i, bool_or(again) AS gone FROM r GROUP BY ALL),
+     a AS (SELECT doc_id, pos, i, part, place, coalesce(gone, false) AS gone FROM n LEFT JOIN g USING (doc_id, pos, i)),
+     c AS (SELECT doc_id, pos, string_agg(part, '' ORDER BY i) FILTER (WHERE NOT gone) AS line, sum(gone::BIGINT) AS n,
+                  string_agg(place::BIGINT::VARCHAR || '-' || (place + length(part))::BIGINT::VARCHAR, ',' ORDER BY i) FILTER (WHERE gone) AS removed
+           FROM a GROUP BY doc_id, pos)
+SELECT doc_id, coalesce(string_agg(CASE WHEN parts = [] THEN '' ELSE c.line END, chr(10) ORDER BY pos), '') AS text,
+       coalesce(sum(n), 0)::BIGINT AS n_removed, coalesce(string_agg(removed, ',' ORDER BY pos), '') AS removed
+FROM t LEFT JOIN c USING (doc_id, pos) GROUP BY doc_id""")
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = drop_repeats(table(spark, sf_dir, "documents"))
     return done.select("row.doc_id", "text", F.size("removed").cast("long").alias("n_removed"), span_list("removed").alias("removed"))
 
 
-@query("op5_near_duplicates")
+@query("op5_near_duplicates", r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM documents),
+     g AS (SELECT doc_id, unnest(CASE WHEN len(w) BETWEEN 1 AND 4 THEN [array_to_string(w, ' ')] ELSE
+                  list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END) AS s FROM w),
+     n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+     p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM g a JOIN g b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+     l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 10 * shared >= 8 * (x.n + y.n - shared)),
+     e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+     r AS (SELECT doc_id, doc_id AS root FROM documents UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.doc_id),
+     c AS (SELECT doc_id, min(root) AS class_id FROM r GROUP BY doc_id),
+     k AS (SELECT a AS doc_id, count(*) AS n_links FROM e GROUP BY a)
+SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links FROM documents JOIN c USING (doc_id) LEFT JOIN k USING (doc_id)""")
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -133,11 +158,41 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs(table(spark, sf_dir, "documents"), planted=True)
 
 
-@query("op11_minmax_near_dups")
+@query("op11_minmax_near_dups", r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+     g AS (SELECT doc_id, unnest(CASE WHEN len(w) BETWEEN 1 AND 3 THEN [array_to_string(w, ' ')] ELSE
+                  list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END) AS s FROM w),
+     n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+     p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM g a JOIN g b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+     l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+     e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+     r AS (SELECT doc_id, doc_id AS root FROM documents UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.doc_id),
+     c AS (SELECT doc_id, min(root) AS component_id FROM r GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM documents JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)""")
 def op11_minmax_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_near_duplicates(table(spark, sf_dir, "documents"))
 
 
-@query("op12_prefix_trie")
+@query("op12_prefix_trie", """
+WITH m AS (SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS t,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+           FROM conversations WHERE conv_id IS NOT NULL),
+     k AS (SELECT c, xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(c::VARCHAR, ''),
+                         lambda b: [ascii(b)::BIGINT + 2, 0, 0, 0, 0, 0, 0, 0, 0]))),
+                  lambda s, x: CASE WHEN x >= 2 THEN xor(s, x - 2) WHEN s % 2 = 1 THEN xor(s >> 1, 3988292384) ELSE s >> 1 END)) % 9 AS h
+           FROM (SELECT DISTINCT c FROM m)),
+     b AS (SELECT k.c, 0 AS own, pos, r, t FROM k JOIN m ON m.c = k.c - (k.c % 5 + 5) % 5 AND pos <= h
+           UNION ALL SELECT k.c, 1, pos, r, t FROM k JOIN m ON m.c = k.c AND pos > h),
+     s AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY own, pos) AS d, count(*) OVER (PARTITION BY c) AS size, r, t FROM b),
+     p AS (SELECT c, d, list(struct_pack(r := r, t := t)) OVER (PARTITION BY c ORDER BY d) AS path, octet_length(encode(t)) AS bytes, d = size AS ends FROM s
+           UNION ALL SELECT c, 0, [], 0, c NOT IN (SELECT c FROM s) FROM k),
+     n AS (SELECT path, any_value(d) AS depth, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(bytes) AS saved,
+                  sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256 FROM p GROUP BY path),
+     f AS (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+     w AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN f USING (path)),
+     a AS (SELECT path[1:i] AS path, sum((n_children = 0)::BIGINT) AS n_leaves, sum(saved) AS saved_tokens
+           FROM (SELECT path, n_children, saved, unnest(range(depth + 1)) AS i FROM w) GROUP BY ALL)
+SELECT w.conv_id, w.depth, u.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, w.ends_sha256
+FROM w JOIN a USING (path) LEFT JOIN w u ON w.depth > 0 AND u.path = w.path[1:w.depth - 1]""")
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(table(spark, sf_dir, "conversations"))

@@ -56,28 +56,53 @@ def test_drop_copies_keeps_one_row_and_all_columns(docs, texts):
     assert len(got) == len(set(got)) and set(got) == want
 
 
-def line_truth(rows, least=4):
-    def norm(line):
-        words = re.findall(r"[^\x20\x09-\x0D]+", line.lower())
-        return " ".join(words) if len(words) >= least else None
+def sentence_places(text):
+    """(start, end, keys) of the sentences, per line."""
+    out, at = [], 0
+    for line in (text or "").split("\n"):
+        parts = [p for p in re.split(r"(?<=[.!?])(?=[\x20\x09-\x0D])|(?<=[\u3002\uff01\uff1f])", line) if p]
+        merged = []
+        for p in parts:                                   # white space belongs to the sentence before it
+            head = re.match(r"[\x20\x09-\x0D]*", p).group()
+            if merged and head:
+                merged[-1] += head
+                p = p[len(head):]
+            if p:
+                merged.append(p)
+        words = [re.findall(r"[^\x20\x09-\x0D]+", p.lower()) for p in merged]
+        row = []
+        for i, p in enumerate(merged):
+            if len(words[i]) >= 12 or any(len(w) >= 40 for w in words[i]):
+                keys = [tuple(words[i])]
+            else:
+                keys = [(k, *words[a], None, *words[a + 1]) for k, a in (("<", i - 1), (">", i)) if words[i] and a >= 0 and a + 1 < len(merged)
+                        and len(words[a]) + len(words[a + 1]) >= 12]
+            row.append((at, at + len(p), keys))
+            at += len(p)
+        out.append(row)
+        at += 1
+    return out
+
 
+def line_truth(rows):
     first = {}
     for i, t in sorted((r for r in set(rows) if r[0] is not None), key=lambda r: r[0]):
-        for line in (t or "").split("\n"):
-            if norm(line):
-                first.setdefault(norm(line), i)
+        for _, _, keys in (s for line in sentence_places(t) for s in line):
+            for k in keys:
+                first.setdefault(k, i)
     out = {}
     for i, t in set(rows):
-        kept, spans, at, seen = [], [], 0, set()
-        for line in (t or "").split("\n"):
-            n = norm(line)
-            if n and (n in seen or first.get(n, i) != i):
-                spans.append((at, at + len(line)))
-            else:
-                kept.append(line)
-            if n:
-                seen.add(n)
-            at += len(line) + 1
+        kept, spans, seen = [], [], set()
+        for line in sentence_places(t):
+            stays = []
+            for a, b, keys in line:
+                if any(k in seen or first.get(k, i) != i for k in keys):
+                    spans.append((a, b))
+                else:
+                    stays.append(t[a:b])
+                seen.update(keys)
+            if stays or not line:
+                kept.append("".join(stays))
         out[i, t] = ("\n".join(kept), spans)
     return out
 
@@ -91,6 +116,20 @@ def test_lines(docs, texts):
         assert all("\n" not in text[a:b] for a, b in spans)
 
 
+def test_passages_inside_longer_lines(spark):
+    shared = " ".join(f"{passage(60 + i, n).capitalize()}." for i, n in enumerate((14, 5, 20, 3, 16, 30)))
+    cjk, link = "\u65e5\u672c" * 25 + "\u3002", "https://example.org/" + "a" * 60
+    rows = [(i, f"{passage(70 + i, 20)}. {shared} {passage(80 + i, 9)}.\n{passage(90 + i, 6)} {link}! end\n{cjk}{i}{cjk}") for i in range(4)]
+    rows += [(9, "Short one. " * 3), (10, "Short one. Other."), (11, None), (12, "\n\n")]
+    got = {(r.row.doc_id, r.row.text): (r.text, [tuple(s) for s in r.removed]) for r in line_dedup.drop_repeats(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == line_truth(rows)
+    for i in (1, 2, 3):
+        left = got[rows[i]][0]
+        assert passage(70 + i, 20) in left and passage(80 + i, 9) in left and left.split("\n")[-1].startswith(str(i))
+        assert not any(passage(60 + k, n).capitalize() in left for k, n in enumerate((14, 5, 20, 3, 16, 30)))
+
+
 def test_lines_without_rows(no_docs):
     assert line_dedup.drop_repeats(no_docs).count() == 0
 
