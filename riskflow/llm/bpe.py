@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import json
 import re
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import cache, cached_property, lru_cache
 from itertools import chain
@@ -30,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow.llm.codes import code_points, runs, text_blocks
-from riskflow.llm.pretokens import piece_starts
+from riskflow.llm.pretokens import distinct_pieces, piece_starts
 from riskflow.llm.tables import store, text_of
 from riskflow.session import scratch_dir
 
@@ -219,8 +218,8 @@ class Encoder(dict):
                     owners.append(i)
         whole, (codes, edges) = "".join(parts), code_points(parts)
         starts = piece_starts(codes, edges)
-        ends = np.append(starts[1:], len(codes)) if len(starts) else starts
-        slots = np.fromiter(map(self.__getitem__, [whole[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]), np.int64, len(starts))
+        pieces, kind = distinct_pieces(whole, codes, starts)
+        slots = np.fromiter(map(self.__getitem__, pieces), np.int64, len(pieces))[kind]
         self.settle()
         sizes = self.sizes[slots]
         done = np.append(0, np.cumsum(sizes))
@@ -247,10 +246,9 @@ def piece_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for _, _, texts in text_blocks(batch.column(0), 1 << 21):
                 whole, (codes, edges) = "".join(texts), code_points(texts)
-                starts = piece_starts(codes, edges).tolist()
-                found = Counter(whole[i:j] for i, j in zip(starts, [*starts[1:], len(whole)], strict=False))
+                pieces, kind = distinct_pieces(whole, codes, piece_starts(codes, edges))
                 # longer pieces are not worth a place in the automaton
-                found = [(p, n) for p, n in found.items() if len(p) <= 64]
+                found = [(p, n) for p, n in zip(pieces, np.bincount(kind, minlength=len(pieces)).tolist(), strict=True) if len(p) <= 64]
                 yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in found], pa.string()), pa.array([n for _, n in found], pa.int64())], ["piece", "n"])
 
     return (docs.select(text_of().alias("text")).mapInArrow(run, "piece string, n long")

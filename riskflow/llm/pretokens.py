@@ -11,6 +11,8 @@ from functools import cache
 
 import numpy as np
 
+from riskflow.llm.codes import prefix, span_hashes
+
 LETTER, NUMBER, SPACE, OTHER = range(4)
 # The code points with Unicode's White_Space property, and the endings of contractions.
 WHITE_SPACE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -53,3 +55,21 @@ def piece_starts(codes: np.ndarray, edges: np.ndarray) -> np.ndarray:
             if i + 1 + size < n:
                 start[i + 1 + size] = True
     return np.flatnonzero(start)
+
+
+def distinct_pieces(whole: str, codes: np.ndarray, starts: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """The different pieces of a block, and for each place in it the number of its piece.
+
+    Places are brought together by hashes and compared with the first of their kind by code points.
+    """
+    if not len(starts):
+        return [], np.zeros(0, np.int64)
+    ends = np.append(starts[1:], len(codes))
+    size = ends - starts
+    _, first, kind = np.unique(span_hashes(prefix(codes), starts, ends), return_index=True, return_inverse=True)
+    if (size == size[first][kind]).all():
+        twin = np.repeat(starts[first][kind] - starts, size)
+        twin += np.arange(len(codes))
+        if (codes == codes[twin]).all():
+            return [whole[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)], kind
+    return [whole[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], np.arange(len(starts))

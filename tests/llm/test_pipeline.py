@@ -56,7 +56,7 @@ def test_stages_on_odd_rows(spark, docs, no_docs, name, stage):
 
 def test_run_is_the_last_stage(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
