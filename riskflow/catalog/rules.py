@@ -13,6 +13,8 @@ from riskflow.operators import quality
 from riskflow.operators import rules as R
 from riskflow.session import scratch_dir
 from riskflow.sources.testdata import TX_CTE, table, transactions
+from riskflow.streaming import answers as A
+from riskflow.streaming import engine as E
 from riskflow.streaming import messages as M
 from riskflow.streaming import rules_job as J
 
@@ -261,3 +263,83 @@ def stream_rules_e2e(spark, sf_dir):
 def stream_restart(spark, sf_dir):
     """Two runs over one checkpoint: state and progress carry over, nothing is sent twice."""
     return _routed(_run_rules_stream(spark, sf_dir, parts=2))
+
+
+# -- the settled stream -------------------------------------------------------------------
+
+_LATE_S = 3 * 86400
+
+
+def _arrivals(spark, sf_dir, parts, jitter_s=0):
+    """The messages in parts of about equal size as they arrive, out of order by up to `jitter_s`; a last one moves the clock on."""
+    text = message_text(spark, sf_dir)
+    sent = F.to_timestamp(F.regexp_extract("value", '"timestamp":"([^"]*)"', 1), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    sent = F.when(F.col("value").rlike('"timestamp":"[^"]*"'), sent)
+    text = text.withColumn("at", F.unix_timestamp(sent) + F.pmod(F.xxhash64("value"), F.lit(jitter_s + 1)))
+    edges, last = text.agg(F.percentile_approx("at", [i / parts for i in range(1, parts)] or [1.0]), F.max("at")).first()
+    place = F.coalesce(reduce(lambda a, b: a + b, [(F.col("at") >= e).cast("int") for e in edges[:parts - 1]], F.lit(0)), F.lit(0))
+    end = F.to_json(F.struct(F.lit("0").alias("transaction_id"), F.lit("clock").alias("customer_id"), F.lit("1").alias("amount"),
+                             F.date_format(F.timestamp_seconds(F.lit(last + 10 * 86400)), "yyyy-MM-dd HH:mm:ss").alias("timestamp")))
+    done = [text.where(place == part).select("value") for part in range(parts)]
+    done[-1] = done[-1].unionByName(spark.range(1).select(end.alias("value")))
+    return done
+
+
+@query("stream_settled", _GOOD_CTE + _ROUTED)
+def stream_settled(spark, sf_dir):
+    """Messages out of order by up to two days, in three starts of one query over one checkpoint."""
+    out, _ = E.run_parts(spark, _arrivals(spark, sf_dir, 3, 2 * 86400), LIMITS, late_s=_LATE_S)
+    return _routed(E.committed(spark, out, "scored").unionByName(E.committed(spark, out, "alerts")))
+
+
+_GOOD_SESSION_CTE = _SESSION_CTE.replace("FROM events)", f"FROM (SELECT * FROM events WHERE {_GOOD.replace('transaction_id', 'event_id')}))", 1)
+
+
+@query("stream_ttl_rules", _GOOD_SESSION_CTE + f"SELECT transaction_id, prior_count, CAST(least({_POINTS}, 100) AS INT) AS rule_based_score FROM ruled".replace("prior_count >= 4", "prior_count >= 1"))
+def stream_ttl_rules(spark, sf_dir):
+    """The rules on activity since the customer was last idle, over a restart."""
+    limits = R.RuleLimits(window_s=21600, max_txn=1)
+    out, _ = E.run_parts(spark, _arrivals(spark, sf_dir, 2, 86400), limits, "ttl_session", _LATE_S)
+    return E.committed(spark, out, "scored").select(*[F.get_json_object("value", f"$.{c}").cast(t).alias(c) for c, t in (
+        ("transaction_id", "bigint"), ("prior_count", "bigint"), ("rule_based_score", "int"))])
+
+
+@query("stream_sinks", _GOOD_CTE + """SELECT topic, NULL AS reason, count(*) AS n FROM (SELECT 'banking.fraud.scored' AS topic FROM banded UNION ALL
+  SELECT 'banking.fraud.alerts' FROM banded WHERE band IN ('CRITICAL', 'HIGH')) GROUP BY 1
+UNION ALL SELECT 'banking.transactions.dlq', CASE WHEN event_id % 103 = 0 THEN 'malformed' ELSE 'amount' END, count(*)
+  FROM events WHERE event_id % 101 = 0 OR event_id % 103 = 0 GROUP BY 2""")
+def stream_sinks(spark, sf_dir):
+    """Messages per topic and reason in the three sinks of one query."""
+    out, _ = E.run_parts(spark, _arrivals(spark, sf_dir, 1), LIMITS, late_s=_LATE_S)
+    sinks = reduce(lambda a, b: a.unionByName(b), [E.committed(spark, out, kind) for kind in E.SINKS])
+    return sinks.groupBy("topic", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("stream_counters", RULES_CTE.replace("FROM events)", f"FROM (SELECT * FROM events WHERE {_GOOD.replace('transaction_id', 'event_id')}))", 1) + """
+SELECT count(*) AS processed, count(*) FILTER (band IN ('CRITICAL', 'HIGH')) AS alerts, count(*) FILTER (score >= 20) AS for_model,
+  (SELECT count(*) FROM events WHERE event_id % 101 = 0 OR event_id % 103 = 0) AS errors, 0::BIGINT AS late, true AS has_latency FROM banded""")
+def stream_counters(spark, sf_dir):
+    """Totals of the stored counters over a restart; latencies are those of the run."""
+    _, table = E.run_parts(spark, _arrivals(spark, sf_dir, 2), LIMITS, late_s=_LATE_S, counters=True)
+    return table.totals().select("processed", "alerts", "for_model", "errors", "late", (F.col("avg_latency_ms") >= 0).alias("has_latency"))
+
+
+@query("stream_answers", TX_CTE.replace("WITH tx", "WITH RECURSIVE tx") + """,
+q AS (SELECT customer_id AS request_id, transaction_id, epoch_us("timestamp") AS us FROM tx),
+chain AS (SELECT request_id, min(us) AS us FROM q GROUP BY 1 UNION ALL
+  SELECT c.request_id, (SELECT min(q.us) FROM q WHERE q.request_id = c.request_id AND q.us >= c.us + 21600000000) FROM chain c WHERE c.us IS NOT NULL),
+given AS (SELECT c.request_id, c.us, min(q.transaction_id) AS answer FROM chain c JOIN q USING (request_id, us) GROUP BY ALL)
+SELECT q.transaction_id, CAST(q.request_id AS VARCHAR) AS request_id, CAST(g.answer AS VARCHAR) AS answer, g.answer <> q.transaction_id AS reused
+FROM q ASOF JOIN given g ON g.request_id = q.request_id AND q.us >= g.us""")
+def stream_answers(spark, sf_dir):
+    """Requests under the customer's id, six hours to live: every request has one answer, repeats the first one's."""
+    base = scratch_dir(spark, "requests")
+    tx = transactions(spark, sf_dir).select(F.col("customer_id").cast("string").alias("request_id"), "timestamp", F.col("transaction_id").alias("rank"))
+    cut = tx.agg(F.timestamp_seconds(F.percentile_approx(F.unix_timestamp("timestamp"), 0.5))).first()[0]
+    for part in (F.col("timestamp") < cut, F.col("timestamp") >= cut):
+        tx.where(part).write.mode("append").parquet(f"{base}/in")
+        source = spark.readStream.schema(tx.schema).option("maxFilesPerTrigger", "1000").parquet(f"{base}/in")
+        answered = A.answer_requests(source.withColumn("answer", F.to_json(F.struct("rank", "request_id"))), 21600, _LATE_S)
+        answered.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint").trigger(
+            availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{base}/out").select(F.col("rank").alias("transaction_id"), "request_id", F.get_json_object("answer", "$.rank").alias("answer"), "reused")

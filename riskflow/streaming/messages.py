@@ -31,23 +31,26 @@ MESSAGE_SCHEMA = T.StructType([
 def message_stream(spark: SparkSession, kind: str = "kafka", **options: str) -> DataFrame:
     """Messages with a `value`: from Kafka topics, or lines of text files.
 
-    Trigger limits (`maxOffsetsPerTrigger`, `maxFilesPerTrigger`) bound a micro-batch.
+    Trigger limits (`maxOffsetsPerTrigger`, `maxFilesPerTrigger`) bound a micro-batch. `arrived` is when the broker or the
+    file system got the message, in epoch milliseconds.
     """
     reader = spark.readStream
     if kind == "kafka":
         options = {"subscribe": ",".join(INPUT_TOPICS), "startingOffsets": "latest",
                    "maxOffsetsPerTrigger": "2000000", **options}
         return reader.format("kafka").options(**options).load().select(
-            F.col("value").cast("string").alias("value"), "topic")
+            F.col("value").cast("string").alias("value"), "topic", F.unix_millis("timestamp").alias("arrived"))
     path = options.pop("path")
-    return reader.format("text").options(**{"maxFilesPerTrigger": "16", **options}).load(path)
+    return reader.format("text").options(**{"maxFilesPerTrigger": "16", **options}).load(path).select(
+        "value", F.unix_millis("_metadata.file_modification_time").alias("arrived"))
 
 
-def decode(messages: DataFrame, value: str = "value") -> DataFrame:
-    """Message text to typed columns; text that is no record stays in `_corrupt_record`."""
+def decode(messages: DataFrame, value: str = "value", keep: str | None = None) -> DataFrame:
+    """Message text to typed columns; text that is no record stays in `_corrupt_record`. `keep` is a column that stays beside them."""
     schema = T.StructType(MESSAGE_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(F.col(value), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    rows = messages.select(F.col(value).alias("_raw"), parsed.alias("_m")).select("_raw", "_m.*")
+    beside = [keep] if keep else []
+    rows = messages.select(F.col(value).alias("_raw"), *beside, parsed.alias("_m")).select("_raw", *beside, "_m.*")
     ts = F.expr("try_to_timestamp(timestamp)")
     return rows.withColumns({
         "amount": F.col("amount").try_cast("double"),
@@ -60,11 +63,13 @@ def is_dead_letter() -> Column:
     return F.col(CORRUPT).isNotNull() | F.col("amount").isNull() | F.col("timestamp").isNull()
 
 
+def dead_reason() -> Column:
+    return F.when(F.col(CORRUPT).isNotNull(), "malformed").when(F.col("amount").isNull(), "amount").otherwise("timestamp")
+
+
 def dead_letters(decoded: DataFrame) -> DataFrame:
-    reason = (F.when(F.col(CORRUPT).isNotNull(), "malformed").when(F.col("amount").isNull(), "amount")
-              .otherwise("timestamp"))
     return decoded.where(is_dead_letter()).select(
-        F.lit(S.TOPIC_DEAD_LETTER).alias("topic"), F.col("_raw").alias("value"), reason.alias("reason"))
+        F.lit(S.TOPIC_DEAD_LETTER).alias("topic"), F.col("_raw").alias("value"), dead_reason().alias("reason"))
 
 
 def readable(decoded: DataFrame, keep_raw: bool = False) -> DataFrame:
@@ -73,12 +78,12 @@ def readable(decoded: DataFrame, keep_raw: bool = False) -> DataFrame:
     return rows.withColumnRenamed("_raw", "payload") if keep_raw else rows.drop("_raw")
 
 
-def whole_record(enriched: DataFrame) -> DataFrame:
-    """All fields of the message beside what the rules found, and when that was."""
+def whole_record(enriched: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """All fields of the message beside what the rules found, and when that was; of `payload`, only with `keep`."""
     rest = [T.StructField(f.name, T.DoubleType() if f.name in ("latitude", "longitude") else f.dataType)
             for f in S.RAW_SCHEMA.fields if f.name != S.LABEL and f.name not in enriched.columns]
     found = enriched.withColumn("_rest", F.from_json("payload", T.StructType(rest)))
-    own = [c for c in enriched.columns if c != "payload"]
+    own = [c for c in enriched.columns if c != "payload" or c in (keep or [])]
     return found.select(*own, *[F.col(f"_rest.{f.name}").alias(f.name) for f in rest], F.current_timestamp().alias("enriched_at"))
 
 
