@@ -11,7 +11,9 @@ from riskflow.operators import features as X
 from riskflow.operators.frames import KeyedFrames
 from riskflow.operators.quantiles import frame_median
 from riskflow.operators.rules import RuleLimits, run_rules
-from riskflow.sources.testdata import TX_CTE, transactions
+from riskflow.plans import incremental
+from riskflow.session import scratch_dir
+from riskflow.sources.testdata import TX_CTE, stretched_transactions, transactions
 
 _INT = {"txn_count_1h", "txn_count_24h", "txn_count_7d", "velocity_spike", "unique_merchants_7d",
         "unique_countries_30d", "typical_amount_band", "days_since_first_txn", "is_impossible_travel",
@@ -221,3 +223,22 @@ def feature_backfill(spark, sf_dir):
         "is_fraud": F.expr("if(transaction_id % 4 = 0, null, is_fraud)")})
     return X.backfill_features(tx).select("transaction_id", six("amount"), "is_international", "txn_count_1h",
                                           "max_single_day", big("is_fraud"))
+
+
+def raw_text(tx):
+    """Transactions as they come in files: times and amounts as text."""
+    texts = {f.name for f in S.RAW_SCHEMA.fields if f.dataType.simpleString() == "string"}
+    stamp = F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("timestamp")
+    return tx.select(*[stamp if c == "timestamp" else F.col(c).cast("string").alias(c) if c in texts else F.col(c) for c in tx.columns])
+
+
+@query("daily_runs", pick(S.ENGINEERED_FEATURES).replace("FROM events)", "FROM (SELECT * REPLACE (TIMESTAMP '2024-01-01' + (ts - TIMESTAMP '2024-01-01') * 8 AS ts) FROM events))", 1))
+def daily_runs(spark, sf_dir):
+    """Eight months of events in two runs, the second with rows of the first one's last month: gold is that of one full run."""
+    root = scratch_dir(spark, "daily")
+    rows, month = stretched_transactions(spark, sf_dir, 8), F.month("timestamp")
+    late = (month == 8) | ((month == 7) & (F.col("transaction_id") % 97 == 0))
+    for i, part in enumerate((~late, late)):
+        raw_text(rows.where(part)).write.json(f"{root}/in/{i}")
+        incremental.run_day(spark, f"{root}/in/{i}", root, with_rules=False)
+    return show(spark.read.parquet(f"{root}/gold"), S.ENGINEERED_FEATURES)

@@ -12,6 +12,7 @@ from riskflow.functions import columns as C
 from riskflow.operators import cleanse, drift, metrics, quality
 from riskflow.operators import features as X
 from riskflow.plans.jobs import score_rows
+from riskflow.session import scratch_dir
 from riskflow.sources.testdata import TX_CTE, transactions
 
 
@@ -160,6 +161,22 @@ def retrain_decision(spark, sf_dir):
     return out.select(six("psi_score"), six("feature_drift_pct"), F.col("retrain").cast("int"))
 
 
+@query("stored_baseline", _SHARES + """SELECT feature, (SELECT count(*) FROM longf l WHERE l.feature = drift.feature AND NOT cur) AS n_ref,
+  count(*) AS bins, true AS near FROM drift JOIN shares USING (feature) GROUP BY 1, 2""")
+def stored_baseline(spark, sf_dir):
+    """Drift of the current slice against sketches kept per hour of the reference slice: as far from the exact index as the sketch allows."""
+    names, tx = ["amount", "latitude", "hour_of_day"], transactions(spark, sf_dir).withColumn("slice", F.hour("timestamp"))
+    current = C.epoch("timestamp") >= 1705276800
+    path = scratch_dir(spark, "baseline")
+    parts = drift.baseline_sketches(tx.where(~current), names, by=["slice"])
+    drift.merge_sketches(parts).write.parquet(path)
+    stored = spark.read.parquet(path)
+    shares = drift.shares_against(tx.where(current), stored)
+    found = drift.drift_scores(shares).join(_drift(spark, sf_dir).select("feature", F.col("psi").alias("exact")), "feature")
+    bins = shares.groupBy("feature").agg(F.count("*").alias("bins"))
+    return found.join(stored, "feature").join(bins, "feature").select("feature", F.col("n").alias("n_ref"), "bins", (F.abs(F.col("psi") - F.col("exact")) < 0.01).alias("near"))
+
+
 # -- evaluation ---------------------------------------------------------------------------
 
 SCORE = "(transaction_id * 37 % 1000 + 400 * is_fraud) / 1400e0"

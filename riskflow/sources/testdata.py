@@ -52,7 +52,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as transactions."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    tx = table(spark, sf_dir, "events").selectExpr(*[f"{e} AS `{n}`" for n, e in _TX.items()])
+    return _transactions(table(spark, sf_dir, "events"))
+
+
+def stretched_transactions(spark: SparkSession, sf_dir: str, times: int) -> DataFrame:
+    """The same, with the time since the start of 2024 made longer."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    start = F.lit("2024-01-01").cast("timestamp_ntz")
+    ts = F.col("ts").cast("timestamp_ntz")
+    return _transactions(table(spark, sf_dir, "events").withColumn("ts", start + (ts - start) * times))
+
+
+def _transactions(events: DataFrame) -> DataFrame:
+    tx = events.selectExpr(*[f"{e} AS `{n}`" for n, e in _TX.items()])
     return tx.withColumns({
         "timestamp": F.col("timestamp").cast("timestamp"),
         "hour_of_day": F.hour("timestamp"),
