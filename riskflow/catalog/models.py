@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from riskflow.catalog.registry import query, six
 from riskflow.functions import columns as C
+from riskflow.models import attribution as A
 from riskflow.models import ensemble as E
 from riskflow.models import forest as I
 from riskflow.models import prepare as P
@@ -124,10 +125,12 @@ def platt(spark, sf_dir):
     return rows.where("split = 'test'").select("transaction_id", F.round(1 / (1 + F.exp(-(F.col("raw") * a + b))), 6).alias("p"))
 
 
-@query("param_search")
+@query("param_search", "SELECT CAST(trial AS INT) AS trial, true AS in_range, true AS folds_run FROM range(30) t(trial)")
 def param_search(spark, sf_dir):
+    """Every trial has its parameters in their ranges, a score, and one fold or all three."""
     train, _, _ = _parts(spark, sf_dir)
-    return E.search(train, MODEL_FEATURES)
+    inside = reduce(lambda a, b: a & b, [F.col(r.name).between(r.low, r.high) for r in E.search_space()])
+    return E.search(train, MODEL_FEATURES).select("trial", (inside & F.col("pr_auc").between(0, 1)).alias("in_range"), F.col("folds").isin(1, 3).alias("folds_run"))
 
 
 def _ensemble(train, validation):
@@ -172,3 +175,14 @@ def batch_score(spark, sf_dir):
 def top_features(spark, sf_dir):
     train, validation, test = _parts(spark, sf_dir)
     return E.importance(E.fit_primary(train, validation, MODEL_FEATURES), test)
+
+
+@query("row_contributions", TX_CTE + f"""SELECT transaction_id, CAST(10 AS BIGINT) AS features, true AS adds_up FROM (
+  SELECT transaction_id, {_BUCKET.format(seed=42)} AS b FROM tx) WHERE b < 1500""")
+def row_contributions(spark, sf_dir):
+    """For every test row, the contributions of the ten features and the base add up to the margin."""
+    rows = training_rows(spark, sf_dir)
+    train, validation, test = [rows.where(F.col("split") == s).drop("split") for s in ("train", "validation", "test")]
+    found = A.contributions(E.fit_primary(train, validation, COLUMNS), test, rows=None)
+    return found.groupBy("transaction_id").agg(F.count("*").alias("features"), (
+        F.abs(F.sum("contribution") + F.first("base") - F.first("margin")) < 1e-6).alias("adds_up"))
