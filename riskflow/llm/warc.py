@@ -26,6 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskflow.llm.shares import join_groups
 from riskflow.llm.tables import store, text_of
 from riskflow.session import scratch_dir
 
@@ -35,8 +36,9 @@ SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
 
-FRAME_BYTES, BUNDLE_BYTES = 1 << 20, 256 << 20
-INDEX = "page_id {id}, bundle string, frame int, frame_start long, frame_size long, offset long, size long"
+#: Full bytes of a frame and of a bundle, and of what a task reads back.
+FRAME_BYTES, BUNDLE_BYTES, READ_BYTES = 1 << 20, 256 << 20, 64 << 20
+INDEX = "page_id {id}, record_id string, bundle string, frame int, frame_start long, frame_size long, offset long, size long"
 RECORD = "page_id {id}, payload_bytes long, payload_digest string, record_type string, refers_to {id}"
 
 
@@ -48,20 +50,21 @@ def _file(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
 
 
-def record_id(page_id: object) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}')}>"
+def record_id(bundle: str, number: int) -> str:
+    """Identifier of a bundle's record; rows that repeat an id, or have none, get different ones."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{bundle}:{number}')}>"
 
 
-def make_record(page_id: object, url: str, payload: bytes | None, digest: str, length: int, refers_to: object) -> bytes:
-    """One WARC/1.1 record; without a payload it revisits ``refers_to``, and its block is the HTTP head alone."""
+def make_record(name: str, page_id: object, url: str, payload: bytes | None, digest: str, length: int, refers_to: object, refers_url: str | None = None) -> bytes:
+    """One WARC/1.1 record; without a payload it revisits page ``refers_to``, and its block is the HTTP head alone."""
     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {length}\r\n\r\n".encode()
     block = head + (payload or b"") if payload is not None else head
-    url = (url or "about:blank").replace("\r", " ").replace("\n", " ")
-    fields = [("WARC-Type", "response" if payload is not None else "revisit"), ("WARC-Record-ID", record_id(page_id)),
+    url, refers_url = ((u or "about:blank").replace("\r", " ").replace("\n", " ") for u in (url, refers_url))
+    fields = [("WARC-Type", "response" if payload is not None else "revisit"), ("WARC-Record-ID", name),
               ("WARC-Date", DATE), ("WARC-Target-URI", url), ("WARC-Payload-Digest", f"sha1:{digest}"),
               ("WARC-Page-ID", "" if page_id is None else page_id)]
     if payload is None:
-        fields += [("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", record_id(refers_to)), ("WARC-Refers-To-Page-ID", refers_to)]
+        fields += [("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To-Target-URI", refers_url), ("WARC-Refers-To-Page-ID", refers_to)]
     fields += [("Content-Type", "application/http;msgtype=response"), ("Content-Length", len(block))]
     lines = "".join(f"{k}: {v}\r\n" for k, v in fields)
     return f"WARC/1.1\r\n{lines}\r\n".encode("utf-8", "replace") + block + b"\r\n\r\n"
@@ -89,10 +92,15 @@ class BundleWriter:
         self.out, self.compressor = fs.open_output_stream(path, compression=None), zstandard.ZstdCompressor(level=3)
         self.at, self.sizes, self.open, self.filled, self.index = 0, [], [], 0, []
 
+    def next_id(self) -> str:
+        return record_id(self.uri.rpartition("/")[2], len(self.index))
+
     def add(self, key: object, record: bytes) -> None:
+        """Append the record named by ``next_id``."""
+        name = self.next_id()
         if self.filled and self.filled + len(record) > self.frame_bytes:
             self.flush()
-        self.index.append([key, self.uri, len(self.sizes), self.at, 0, self.filled, len(record)])
+        self.index.append([key, name, self.uri, len(self.sizes), self.at, 0, self.filled, len(record)])
         self.open.append(record)
         self.filled += len(record)
 
@@ -101,9 +109,9 @@ class BundleWriter:
             packed = self.compressor.compress(b"".join(self.open))
             self.out.write(packed)
             for row in reversed(self.index):
-                if row[2] != len(self.sizes):
+                if row[3] != len(self.sizes):
                     break
-                row[4] = len(packed)
+                row[5] = len(packed)
             self.sizes.append((len(packed), self.filled))
             self.at += len(packed)
             self.open, self.filled = [], 0
@@ -131,14 +139,13 @@ def read_seek_table(file: pyarrow.NativeFile) -> list[tuple[int, int, int]]:
 
 
 def _first_of_equal(pages: DataFrame) -> DataFrame:
-    """``page_id, url, html, refers_to``; null in the last marks responses. Payloads are equal by SHA-256 and length."""
+    """``page_id, url, html, refers_to, refers_url``; null in the last marks responses. Payloads are equal by SHA-256 and length."""
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), text_of("html").alias("html"))
     rows = rows.withColumn("key", F.unhex(F.sha2("html", 256)))
-    first = rows.groupBy("key").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1")
-    # A payload that very many pages share is a skewed partition of this join, which adaptive execution splits.
-    found = rows.join(first.select("key", "first_id"), "key", "left")
+    first = rows.groupBy("key").agg(F.min("page_id").alias("first_id"), F.min_by("url", "page_id").alias("first_url"), F.count("*").alias("n")).where("n > 1")
+    found = join_groups(rows, store(first, "payloads"), "key", "n", "page_id", "left")
     revisit = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
-    return found.select("page_id", "url", F.when(~revisit, F.col("html")).alias("html"), F.when(revisit, F.col("first_id")).alias("refers_to"),
+    return found.select("page_id", "url", F.when(~revisit, F.col("html")).alias("html"), F.when(revisit, F.col("first_id")).alias("refers_to"), F.when(revisit, F.col("first_url")).alias("refers_url"),
                         F.octet_length("html").cast("long").alias("length"), F.sha1("html").alias("digest"))
 
 
@@ -155,12 +162,12 @@ def write_bundles(pages: DataFrame, frame_bytes: int = FRAME_BYTES, bundle_bytes
                 page_id, refers_to = (None if pd.isna(x) else x for x in (row.page_id, row.refers_to))
                 payload = None if refers_to is not None else row.html.encode("utf-8", "replace")
                 digest = base64.b32encode(bytes.fromhex(row.digest)).decode()
-                record = make_record(page_id, row.url, payload, digest, row.length, refers_to)
-                if writer is not None and filled + len(record) > bundle_bytes:
+                if writer is not None and filled + (len(payload) if payload else 0) > bundle_bytes:
                     yield pd.DataFrame(writer.close(), columns=names)
                     writer, filled = None, 0
                 if writer is None:
                     writer = BundleWriter(f"{folder}/{uuid.uuid4().hex}.warc.zst", frame_bytes)
+                record = make_record(writer.next_id(), page_id, row.url, payload, digest, row.length, refers_to, row.refers_url)
                 writer.add(page_id, record)
                 filled += len(record)
         if writer is not None:
@@ -192,7 +199,9 @@ def read_bundles(index: DataFrame) -> DataFrame:
                         data = decompressor.decompress(file.read_at(packed, start), max_output_size=full)
                         yield pd.DataFrame([_read(data[r.offset:r.offset + r.size]) for r in rows.itertuples()], columns=names)
 
-    dealt = index.repartition("bundle", "frame").select("bundle", "frame", "offset", "size")
+    # The index is small however much it points to, so its own size says nothing about the number of tasks.
+    total = index.agg(F.sum("size")).first()[0] or 0
+    dealt = index.repartition(max(1, -(-total // READ_BYTES)), "bundle", "frame").select("bundle", "frame", "offset", "size")
     return dealt.mapInPandas(run, RECORD.format(id="string")).withColumns(
         {"page_id": F.col("page_id").cast(kind), "refers_to": F.col("refers_to").cast(kind)})
 

@@ -10,6 +10,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -152,13 +153,19 @@ def test_archives(spark):
         digest = base64.b32encode(hashlib.sha1(h.encode()).digest()).decode()
         want.append(str((i, len(h.encode()), digest, "revisit" if revisit else "response", first[h] if revisit else None)))
     assert got == sorted(want)
+    placed = index.collect()
+    assert len({r.record_id for r in placed}) == len(rows)                 # also where rows repeat an id or have none
+    for r in placed[:40]:
+        with open(r.bundle.removeprefix("file://"), "rb") as file:
+            file.seek(r.frame_start)
+            data = zstandard.ZstdDecompressor().decompress(file.read(r.frame_size), max_output_size=1 << 24)
+        fields, _, _ = warc.parse_record(data[r.offset:r.offset + r.size])
+        assert fields["WARC-Record-ID"] == r.record_id and fields["WARC-Page-ID"] == ("" if r.page_id is None else str(r.page_id))
     assert warc.archive_round_trip(pages.limit(0)).count() == 0
 
 
 def test_bundles_are_plain_zstandard(tmp_path):
-    import zstandard
-
-    records = [warc.make_record(i, f"http://{i}", passage(i, 50 * i).encode(), "D", 1, None) for i in range(12)]
+    records = [warc.make_record(f"<urn:{i}>", i, f"http://{i}", passage(i, 50 * i).encode(), "D", 1, None) for i in range(12)]
     writer = warc.BundleWriter(f"file://{tmp_path}/x.warc.zst", 2000)
     for i, r in enumerate(records):
         writer.add(i, r)
@@ -166,7 +173,7 @@ def test_bundles_are_plain_zstandard(tmp_path):
     with open(tmp_path / "x.warc.zst", "rb") as file:
         whole = zstandard.ZstdDecompressor().stream_reader(file, read_across_frames=True).read()
     assert whole == b"".join(records)                          # readers that know no seek table skip it
-    assert len({r[2] for r in index}) > 1
+    assert len({r[3] for r in index}) > 1
     fields, _, payload = warc.parse_record(records[3])
     assert payload == passage(3, 150).encode() and fields["WARC-Type"] == "response"
     with pytest.raises(ValueError):
