@@ -37,8 +37,8 @@ class Settings:
     grams: tuple[int, ...] = (3, 4, 5)
     epochs: int = 6
     rate: float = 2.0
-    sample_rows: int = 2000
-    sample_chars: int = 16_000_000
+    sample_rows: int = 3000
+    sample_chars: int = 24_000_000
     folds: int = 5
     seed: int = 7
     threshold: float = 0.3
@@ -79,7 +79,11 @@ def feature_parts(texts: list[str], settings: Settings) -> Iterator[tuple[np.nda
         yield (span_hashes(sums, at, at + n) >> shift).astype(np.int64), owner[at]
 
 
-def bags(texts: list[str], settings: Settings) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+#: Buckets of a text and their shares.
+Bag = tuple[np.ndarray, np.ndarray]
+
+
+def bags(texts: list[str], settings: Settings) -> Iterator[Bag]:
     """Per text its different buckets and the share of each among the text's features."""
     size = 1 << settings.bits
     for a, b in blocks(texts, SMALL):
@@ -90,14 +94,13 @@ def bags(texts: list[str], settings: Settings) -> Iterator[tuple[np.ndarray, np.
             yield (keys[i:j] % size).astype(np.int32), (counts[i:j] / max(1, counts[i:j].sum())).astype(np.float32)
 
 
-def fit(texts: list[str], labels: list[int], weights: dict[int, float], settings: Settings) -> Model:
+def fit(docs: list[Bag], labels: list[int], weights: dict[int, float], settings: Settings) -> Model:
     """Stochastic gradient descent, one document at a time, with a falling rate."""
     rng = np.random.default_rng(settings.seed)
     vectors = rng.uniform(-1 / settings.dim, 1 / settings.dim, (1 << settings.bits, settings.dim)).astype(np.float32)
     out, bias = np.zeros((2, settings.dim), np.float32), np.zeros(2, np.float32)
-    if not texts:
+    if not docs:
         return Model(np.zeros(1 << settings.bits, np.float32), 0.0, settings)
-    docs = list(bags(texts, settings))
     steps, step = settings.epochs * len(docs), 0
     for _ in range(settings.epochs):
         for i in rng.permutation(len(docs)):
@@ -117,8 +120,12 @@ def fit(texts: list[str], labels: list[int], weights: dict[int, float], settings
     return Model(vectors @ (out[1] - out[0]), float(bias[1] - bias[0]), settings)
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> tuple[list[str], list[int], dict[int, float]]:
-    """Texts and labels of the sample, and the weight of a row of each class."""
+def training_sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> tuple[list[Bag], list[int], dict[int, float]]:
+    """Bags and labels of the sample, and the weight of a row of each class.
+
+    Each text becomes its bag as it arrives. One that does not fit the bound of characters any more is passed over, so a few very long
+    texts leave the others in.
+    """
     known = (labels.where(F.col("quality").isin(0, 1) & (fold(folds=settings.folds) != 0))
              .groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality")))
     total = {r.quality: r.n for r in known.groupBy("quality").agg(F.count("*").alias("n")).collect()}
@@ -127,15 +134,15 @@ def training_sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> t
     chosen = half[0].unionByName(half[1])                           # at most sample_rows ids
     rows = (docs.select("doc_id", text_of().alias("text")).join(F.broadcast(chosen), "doc_id")
             .groupBy("doc_id", "quality").agg(F.min("text").alias("text")).orderBy(order, "doc_id"))
-    texts, found, chars = [], [], 0
+    kept, found, chars = [], [], 0
     for row in rows.toLocalIterator():
+        if chars + len(row.text) > settings.sample_chars and kept:
+            continue
         chars += len(row.text)
-        if chars > settings.sample_chars and texts:
-            break
-        texts.append(row.text)
+        kept += bags([row.text], settings)
         found.append(row.quality)
     weights = {q: (total.get(q, 0) / sum(total.values())) / max(1, found.count(q)) * len(found) for q in (0, 1)} if total else {}
-    return texts, found, weights
+    return kept, found, weights
 
 
 def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:

@@ -91,6 +91,17 @@ def test_classifier_never_sees_held_out_labels(spark):
     assert np.array_equal(a.parts, b.parts) and a.bias == b.bias
 
 
+def test_very_long_texts_leave_the_others_in_the_sample(spark):
+    rows = [(i, ("good words here " if i % 2 else "bad junk there ") * (4000 if i < 12 else 5)) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, quality int")
+    settings = quality_model.Settings(sample_chars=70_000)
+    kept, found, _ = quality_model.training_sample(docs, labels, settings)
+    assert len(kept) == len(found) >= 45 and min(found.count(0), found.count(1)) >= 15
+    model = quality_model.train(docs, labels, settings)
+    assert (quality_model.scores(["good words here"], model) > quality_model.scores(["bad junk there"], model)).all()
+
+
 def test_classifier_on_odd_rows(spark, docs, no_docs):
     labels = spark.createDataFrame([(1, 1, 0), (4, 0, 0), (4, None, 0), (None, 1, 0), (12, 1, 1), (77, 0, 0)], "doc_id long, quality int, toxic int")
     model = quality_model.train(docs, labels)
