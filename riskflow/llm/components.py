@@ -1,4 +1,7 @@
-"""Connected components of an edge table by alternating stars; no node's edges meet in one group."""
+"""Connected components of an edge table by alternating stars.
+
+Neighbours are never listed in one row; the edges of a hot node meet in a join, whose partition adaptive execution splits.
+"""
 
 from __future__ import annotations
 
