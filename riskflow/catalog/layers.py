@@ -159,11 +159,12 @@ def schema_evolve(spark, sf_dir):
     return spark.read.option("mergeSchema", "true").parquet(path).select("transaction_id", six("amount"), "country_code")
 
 
-@query("write_csv")
+@query("write_csv", TX_CTE + f"SELECT count(*) AS n_samples, {len(S.MODEL_FEATURES)}::BIGINT AS n_features, round(avg(is_fraud), 6) AS fraud_rate FROM tx")
 def write_csv(spark, sf_dir):
     path = scratch_dir(spark, "csv")
     IO.write_csv(quality.dataset_profile(transactions(spark, sf_dir), S.MODEL_FEATURES), path)
-    return spark.read.option("header", "true").schema("n_samples bigint, n_features bigint, fraud_rate double").csv(path)
+    stored = spark.read.option("header", "true").schema("n_samples bigint, n_features bigint, fraud_rate double").csv(path)
+    return stored.select("n_samples", "n_features", six("fraud_rate"))
 
 
 # -- cleansing ----------------------------------------------------------------------------

@@ -51,6 +51,20 @@ def assemble(df: DataFrame, columns: list[str], output: str = "features") -> Dat
     return VectorAssembler(inputCols=columns, outputCol=output, handleInvalid="keep").transform(cast)
 
 
+def first_by_hash(df: DataFrame, key: str, n: int, seed: int, buckets: int = 1 << 16) -> DataFrame:
+    """Exactly `n` rows in the order of the key's hash: whole buckets, and of the bucket in which the n-th row lies as many as are missing.
+
+    Only the counts per bucket reach the driver, and only one bucket is sorted.
+    """
+    placed, left, last = df.withColumn("_b", bucket(key, seed, buckets)), n, -1
+    for row in placed.groupBy("_b").count().orderBy("_b").toLocalIterator():
+        if row["count"] > left:
+            rest = placed.where(F.col("_b") == row["_b"]).orderBy(key).limit(left)
+            return placed.where(F.col("_b") <= last).unionByName(rest).drop("_b")
+        left, last = left - row["count"], row["_b"]
+    return placed.drop("_b")
+
+
 def oversample(df: DataFrame, columns: list[str], ratio: float = 0.15, label: str = LABEL,
                key: str = "transaction_id", projections: int = 4, neighbours: int = 5, seed: int = 42,
                rows_per_cell: int = 2000) -> DataFrame:
@@ -107,7 +121,7 @@ def oversample(df: DataFrame, columns: list[str], ratio: float = 0.15, label: st
     best = points.select("_id", "_x").join(best.select("_id", "near"), "_id", "left").withColumn("near", F.coalesce("near", alone))
     # Copies per row: the whole part for all, one more for as many as are left.
     whole, part = divmod(wanted, minority)
-    extra = points.orderBy(bucket("_id", seed + 2), "_id").limit(part).select("_id", F.lit(1).alias("_more"))
+    extra = first_by_hash(points.select("_id"), "_id", part, seed + 2).select("_id", F.lit(1).alias("_more"))
     best = best.join(extra, "_id", "left")
     copies = F.lit(whole) + F.coalesce("_more", F.lit(0))
     made = best.select("_id", "_x", "near", F.explode(F.when(copies > 0, F.sequence(F.lit(1), copies))).alias("c"))

@@ -23,10 +23,10 @@ def frame_median(rows: DataFrame, seconds: int, name: str, hot_rows: int = 2000,
                  value: str = "amount", scale: int = UNIT) -> DataFrame:
     """Lower median of `value` per (`_key`, `_t`), as columns `_key`, `_t`, `name`.
 
-    The search works on whole multiples of 1/`scale`. Whether there are hot keys, and how many
+    Values are rounded to multiples of 1/`scale` first, so the size of a key changes no result. Whether there are hot keys, and how many
     digits their values need, is asked first in one aggregate over the key and value columns.
     """
-    points = rows.where(F.col(value).isNotNull()).select("_key", "_t", F.col(value).alias("_v"))
+    points = rows.where(F.col(value).isNotNull()).select("_key", "_t", (F.round(F.col(value) * scale, 0) / scale).alias("_v"))
     hot_keys = points.groupBy("_key").agg(F.count(F.lit(1)).alias("_rows"), F.max(F.abs("_v")).alias("_top")).where(
         F.col("_rows") > hot_rows)
     hot = hot_keys.agg(F.count(F.lit(1)).alias("keys"), F.max("_top").alias("top")).first()

@@ -135,3 +135,29 @@ def test_columns_that_are_absent_are_left_out(spark):
     assert gold.first()["device_fraud_rate_30d"] == 0.0
     filled = X.backfill_features(df).first()
     assert filled["txn_count_1h"] == 0.0 and filled["is_fraud"] == 0
+
+
+def test_sketches_are_near_the_exact_counts(spark):
+    """Within 5 % on all keys, also where frames hold thousands of values; the slices can be kept and given."""
+    from riskflow.operators.sketches import approx_distinct, second_sketches, slice_sketches
+
+    rows = spark.range(60_000).select((F.col("id") % 4).alias("k"), (F.col("id") * 7 - F.col("id") % 11).alias("_t"), F.col("id").alias("transaction_id"),
+                                      F.when(F.col("id") % 4 == 0, F.pmod(F.xxhash64("id"), F.lit(9000))).when(F.col("id") % 4 == 1, F.col("id") % 12)
+                                      .when(F.col("id") % 4 == 2, F.lit(None)).otherwise(F.col("id")).alias("v"))
+    exact = KeyedFrames("k").distinct("n", 86_400, "v").compute(rows)
+    length = 86_400 // 24
+    kept = slice_sketches(second_sketches(rows, "k", "v"), length)
+    for state in (None, kept):
+        near = approx_distinct(rows, "k", "v", 86_400, "about", 24, state=state)
+        both = exact.join(near, ["_key", "_t"], "full")
+        assert both.where("about is null or n is null or abs(about - n) > 0.05 * n").count() == 0
+        assert both.count() == 60_000 and both.agg(F.max("n")).first()[0] > 2000
+    assert kept.count() == kept.select("_key", "slice").distinct().count() < 600
+
+
+def test_median_does_not_depend_on_the_size_of_a_key(spark):
+    from riskflow.operators.quantiles import frame_median
+
+    rows = spark.range(400).select((F.col("id") % 3).alias("_key"), (F.col("id") * 9000).alias("_t"), (F.pmod(F.xxhash64("id"), F.lit(10**9)) / 1e6).alias("amount"))
+    few, many = ({tuple(r) for r in frame_median(rows, 30 * 86400, "m", hot).collect()} for hot in (10_000, 1))
+    assert few == many and len(few) == 400

@@ -102,3 +102,12 @@ def test_queries_run_the_operators_with_their_defaults(spark, monkeypatch):
         with pytest.raises(Reached):
             QUERIES[name](spark, "")
     assert seen == [([MODEL_FEATURES], {})] * len(names)
+
+
+def test_first_by_hash_is_exact(spark):
+    from riskflow.models.prepare import bucket, first_by_hash
+
+    df = spark.range(1000).withColumnRenamed("id", "_id")
+    order = [r["_id"] for r in df.orderBy(bucket("_id", 5, 64), "_id").collect()]
+    for n in (0, 1, 37, 999, 1000):
+        assert sorted(r["_id"] for r in first_by_hash(df, "_id", n, 5, 64).collect()) == sorted(order[:n])
