@@ -19,6 +19,8 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -168,18 +170,27 @@ def profiles(docs: DataFrame, references: DataFrame, limits: Limits) -> DataFram
         run, PROFILE.format(id=kind))
 
 
-def js_distance(left: Column, right: Column) -> Column:
-    """Jensen-Shannon distance of two histograms of equal length; null if either is empty."""
-    def share(counts: Column) -> Column:
-        total = F.aggregate(counts, F.lit(0.0), lambda s, x: s + x)
-        return F.transform(counts, lambda x: x / F.when(total > 0, total))
+def distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Jensen-Shannon distances of the rows of two tables of counts; not a number where either row is empty."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        p, q = (x / x.sum(axis=1, keepdims=True) for x in (left, right))
+        terms = [np.where(x > 0, x * np.log2(2 * x / (p + q)), 0.0).sum(axis=1) for x in (p, q)]
+        out = np.sqrt(np.maximum((terms[0] + terms[1]) / 2, 0.0))
+    out[(left.sum(axis=1) == 0) | (right.sum(axis=1) == 0)] = np.nan
+    return out
 
-    def term(p: Column, q: Column) -> Column:
-        return F.when(p > 0, p * F.log2(2 * p / (p + q))).otherwise(F.when(p == 0, F.lit(0.0)))
 
-    parts = F.zip_with(share(left), share(right), lambda p, q: (term(p, q) + term(q, p)) / 2)
-    total = F.aggregate(parts, F.lit(0.0), lambda s, x: s + x)
-    return F.sqrt(F.greatest(total, F.when(total.isNotNull(), F.lit(0.0))))
+def js_distance(left: Column, right: Column) -> Column:
+    """Jensen-Shannon distance of two histograms of equal length; null if either is null or empty."""
+    def run(left: pa.Array, right: pa.Array) -> pa.Array:
+        both = pc.and_(left.is_valid(), right.is_valid())
+        out, n = np.full(len(left), np.nan), pc.sum(both).as_py() or 0
+        if n:
+            tables = [x.filter(both).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(n, -1) for x in (left, right)]
+            out[both.to_numpy(zero_copy_only=False)] = distances(*tables)
+        return pa.array(out, mask=np.isnan(out))
+
+    return F.arrow_udf(run, "double")(left, right)
 
 
 def quality_rules(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:

@@ -62,6 +62,50 @@ def test_rules_of_a_rare_language(spark):
     assert got[20].word_distance is None and got[20].kept and got[21].word_distance is None
 
 
+def test_verdicts_on_the_table(spark):
+    """Distances and verdict of every document against histograms counted here."""
+    import math
+    import unicodedata
+
+    rows = [(r.doc_id, r.text or "", r.lang) for r in table(spark, "/root/testdata/sf0.001", "documents").collect()]
+    words = {i: re.findall(r"[^\x20\x09-\x0D]+", t.lower()) for i, t, _ in rows}
+
+    def kind(c):
+        k = unicodedata.category(c)
+        if c in "\t\n\x0b\x0c\r" or k[0] == "Z":
+            return "space"
+        return {"Ll": "lower", "Lu": "upper", "Lt": "upper"}.get(k, {"L": "letter", "N": "digit", "P": "punctuation", "S": "symbol"}.get(k[0], "other"))
+
+    def distance(a, b):
+        n, m = sum(a.values()), sum(b.values())
+        p, q = ({k: v / t for k, v in c.items()} for c, t in ((a, n), (b, m)))
+        return math.sqrt(max(0.0, sum(x * math.log2(2 * x / (x + y)) for c, d in ((p, q), (q, p)) for k, x in c.items() for y in [d.get(k, 0.0)] if x) / 2))
+
+    classes = {i: Counter(map(kind, t)) for i, t, _ in rows}
+    of_lang, all_classes, top = {}, {}, {}
+    for i, _, lang in rows:
+        of_lang.setdefault(lang, Counter()).update(words[i])
+        all_classes.setdefault(lang, Counter()).update(classes[i])
+    for lang, counts in of_lang.items():
+        if sum(counts.values()) >= 1000:
+            top[lang] = {w for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:50]}
+
+    def common(counter, lang):
+        return Counter({w if w in top[lang] else None: 0 for w in counter}) + Counter(x for w, n in counter.items() for x in [w if w in top[lang] else None] * n)
+
+    reference = {lang: common(of_lang[lang], lang) for lang in top}
+    got = {r.doc_id: r for r in quality_rules.quality_rules(table(spark, "/root/testdata/sf0.001", "documents")).collect()}
+    for i, t, lang in rows:
+        r = got[i]
+        far = False
+        for name, long, a, b, most in (("class_distance", len(t) >= 200, classes[i], all_classes[lang], 0.28),
+                                       ("word_distance", len(words[i]) >= 100 and lang in top, words[i] and lang in top and common(Counter(words[i]), lang), reference.get(lang), 0.4)):
+            want = distance(a, b) if long else None
+            assert (r[name] is None) == (want is None) and (want is None or r[name] == pytest.approx(want, abs=1e-9))
+            far |= want is not None and want > most
+        assert r.kept == (not r.base_failed and not far)
+
+
 def test_distance(spark):
     row = spark.createDataFrame([([3, 1, 0], [1, 1, 2], [0, 0, 0])], "p array<long>, q array<long>, z array<long>")
     got = row.select(quality_rules.js_distance(F.col("p"), F.col("q")), quality_rules.js_distance(F.col("p"), F.col("p")),
