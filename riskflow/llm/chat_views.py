@@ -4,30 +4,43 @@ For every participant of a dialogue, the dialogue is rendered with that speaker
 others as users with their names; the mask holds the places (code points) that the assistant is trained on,
 contents with their end mark. System messages belong to no participant and stay as they are.
 
-A dialogue is rendered in parts of ``PART`` turn numbers, so that one of any length is spread over tasks;
-concatenated by ``part`` they are the whole. Rows equal in conversation, turn, speaker and text are one message;
+A dialogue is rendered in parts of ``PART`` messages, so that one of any length, also with all of them on one turn or none, is spread over tasks;
+concatenated by ``part`` they are the whole. Messages are numbered in a table sorted in ranges, which may begin and end inside a dialogue. Rows equal in conversation, turn, speaker and text are one message;
 different messages of one turn follow in order of speaker and text. A null speaker is ``unknown``, a null text
-empty, a null turn comes first in part 0. Rows without a conversation are dialogues of their own. A
+empty, a null turn comes first. Rows without a conversation are dialogues of their own. A
 dialogue of system messages alone has no view; an empty table gives an empty result. Marks inside a text are
 broken by a space, so that no text can forge a turn. Only ``conv_id, turn, role, text`` are read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PART = 256
+from riskflow.llm.tables import store
+
+#: Messages of a part, and of a range of the sorted table.
+PART, ROWS = 256, 200_000
 START, END, SYSTEM, UNKNOWN = "<|im_start|>", "<|im_end|>", "system", "unknown"
 KEYS = ["conv_id", "solo"]
 
 
-def messages(chats: DataFrame) -> DataFrame:
+def messages(chats: DataFrame, size: int | None = None) -> DataFrame:
     """Different messages with their dialogue (``conv_id, solo``) and part."""
     row = chats.select("conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit(UNKNOWN)).alias("role"),
                        F.replace(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit("<|"), F.lit("< |")).alias("content")).distinct()
     solo = F.when(F.col("conv_id").isNull(), F.xxhash64("turn", "role", "content")).otherwise(F.lit(0))
-    return row.withColumns({"solo": solo, "part": F.coalesce(F.floor(F.col("turn") / PART), F.lit(0)).cast("long")})
+    order = [*KEYS, "turn", "role", "content"]
+    ranges = max(1, -(-chats.count() // (size or ROWS)))
+    ranged = row.withColumn("solo", solo).repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    placed = store(ranged.withColumn("at", F.monotonically_increasing_id()), "messages").withColumn("range", F.shiftright("at", 33))
+    before = Window.partitionBy(*KEYS).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    spans = placed.groupBy(*KEYS, "range").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    spans = spans.select(F.col("conv_id").alias("_conv"), F.col("solo").alias("_solo"), F.col("range").alias("_range"), "first",
+                         F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    same = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("solo") == F.col("_solo")) & (F.col("range") == F.col("_range"))
+    number = F.col("at") - F.col("first") + F.col("before")
+    return placed.join(spans, same).select(*KEYS, "turn", "role", "content", F.floor(number / PART).cast("long").alias("part"))
 
 
 def _pieces(perspective: Column) -> dict[str, Column]:

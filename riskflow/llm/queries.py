@@ -140,10 +140,11 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH m AS (SELECT DISTINCT conv_id, turn::BIGINT AS turn, coalesce(role, 'unknown') AS role, replace(coalesce(text, ''), '<|', '< |') AS content
            FROM conversations),
      p AS (SELECT DISTINCT conv_id, role AS perspective FROM m WHERE role <> 'system'),
-     s AS (SELECT p.conv_id, perspective, turn // 256 AS part, turn, role, content, role = perspective AS own,
+     o AS (SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, content) - 1) // 256 AS part FROM m),
+     s AS (SELECT p.conv_id, perspective, part, turn, role, content, role = perspective AS own,
                   '<|im_start|>' || CASE WHEN role = perspective THEN 'assistant' WHEN role = 'system' THEN role
                                          ELSE 'user name=' || role END || chr(10) AS head,
-                  content || '<|im_end|>' AS body FROM p JOIN m ON p.conv_id = m.conv_id),
+                  content || '<|im_end|>' AS body FROM p JOIN o ON p.conv_id = o.conv_id),
      w AS (SELECT *, sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, perspective, part ORDER BY turn, role, content)::BIGINT
                      - length(body) - 1 AS place FROM s)
 SELECT conv_id, perspective, part, count(*) AS n_turns, string_agg(head || body || chr(10), '' ORDER BY turn, role, content) AS text,

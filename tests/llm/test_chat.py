@@ -13,8 +13,8 @@ def truth(rows, size):
     for key, said in talks.items():
         for speaker in {r for _, r, _ in said if r != "system"}:
             parts = defaultdict(list)
-            for m in said:
-                parts[0 if m[0] is None else m[0] // size].append(m)
+            for n, m in enumerate(sorted(said, key=lambda m: (m[0] is not None, m))):
+                parts[n // size].append(m)
             for part, own in parts.items():
                 text, mask = "", []
                 for turn, role, content in sorted(own, key=lambda m: (m[0] is not None, m)):
@@ -36,3 +36,13 @@ def test_perspectives(spark, monkeypatch):
     got = Counter((r.conv_id, r.perspective, r.part, r.n_turns, r.text, tuple(tuple(m) for m in r["mask"])) for r in chat_views.perspectives(chats).collect())
     assert got == truth(rows, 4)
     assert chat_views.perspectives(chats.limit(0)).count() == 0
+
+
+def test_one_turn_with_very_many_messages(spark, monkeypatch):
+    monkeypatch.setattr(chat_views, "ROWS", 50)
+    rows = [(7, None, "ab"[i % 2], f"m{i}") for i in range(700)] + [(8, 3, "ab"[i % 2], f"m{i}") for i in range(300)]
+    chats = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").repartition(3)
+    got = chat_views.perspectives(chats).collect()
+    assert {(r.conv_id, r.perspective, r.part): r.n_turns for r in got} == {
+        (c, p, n): size for c, sizes in ((7, [256, 256, 188]), (8, [256, 44])) for p in "ab" for n, size in enumerate(sizes)}
+    assert Counter((r.conv_id, r.perspective, r.part, r.n_turns, r.text, tuple(tuple(m) for m in r["mask"])) for r in got) == truth(rows, 256)
