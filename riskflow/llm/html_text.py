@@ -3,9 +3,11 @@
 A page is read as a sequence of words and tags. Words score above zero, tags below, and the contiguous
 run with the largest sum is the content region. The scores are log odds learned from labelled pages,
 those whose markup names the article (one ``article`` or ``main`` element): how often each kind of
-token stands inside and outside. Defaults stand in as prior counts, so pages can be read without labels.
-Elements that are never text (scripts, menus, forms, comments ...) are passed over, in the scan as in the
-output: neither their words nor their tags have a score.
+token stands inside and outside, menus and footers included. Words of blocks with more than ``SHORT`` words are a kind of their own, and so are
+those of links; marks inside running text say little about a place and score next to nothing.
+Defaults stand in as prior counts, so pages can be read without labels.
+Elements that are never text (scripts, menus, forms, comments ...) and name themselves so are passed over in the
+scan and in the output; pages that do not name them are left to the scan.
 
 Null and empty pages give the empty text. Rows are read one by one, so repeated rows and ids give equal
 rows, and null ids stay null. An empty table gives an empty result. Columns other than ``page_id``,
@@ -39,6 +41,7 @@ BLOCKS = frozenset("""address article aside blockquote body caption center dd de
 figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre search section summary
 table tbody td tfoot th thead tr ul""".split())
 NEVER_TEXT = frozenset("nav footer aside form button select option label input dialog menu search head object embed canvas audio video map".split())
+UNSEEN = frozenset("script style textarea noscript template title iframe svg math head meta link base".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Words in class, id or role that mark an element as no part of the article.
 BOILERPLATE = frozenset("""ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent
@@ -46,9 +49,12 @@ notice gdpr newsletter subscribe subscription signup popup modal overlay sidebar
 breadcrumbs footer comment comments disqus respond replies share sharing social related recommended recommendations widget login search
 searchbox pagination pager toolbar masthead contentinfo complementary alertdialog skip""".split())
 
-#: Prior scores and how many labelled tokens they weigh.
+# Marks inside running text.
+INLINE = frozenset("a abbr b bdi bdo br cite code data del dfn em font i img ins kbd mark q s samp small span strong sub sup time u var wbr".split())
+#: Prior scores and how many labelled tokens they weigh; least score of a word, of a tag, the most of either; words of a short block.
 PRIOR_WORD, PRIOR_TAG, PRIOR_COUNT = 1.0, -1.0, 50
-LEAST, MOST = 0.05, 3.0
+LEAST_WORD, LEAST, MOST, SHORT = 0.3, 0.05, 3.0, 25
+WORDS = ("word", "long word", "linked word")
 
 
 def parse(page: str) -> list[tuple[str, str, bool]]:
@@ -119,33 +125,48 @@ def _articles(tokens: list) -> list[tuple[int, int]]:
     return []
 
 
-def scored_units(tokens: list[tuple[str, str, bool]]) -> Iterator[tuple[int, str, int]]:
-    """Token index, kind and number of what is scored: visible words and visible tags."""
+def scored_units(tokens: list[tuple[str, str, bool]], hidden_too: bool = False) -> Iterator[tuple[int, str, int]]:
+    """Token index, kind and number of what is scored: words and tags, of passed-over elements only for counting."""
+    linked, sizes = 0, _block_sizes(tokens)
     for i, (kind, value, hidden) in enumerate(tokens):
-        if hidden:
+        if kind == "tag" and value in ("a", "/a"):
+            linked = value == "a"
+        if hidden and not (hidden_too and value.lstrip("/") not in UNSEEN):
             continue
         if kind == "text":
             words = len(value.split())
             if words:
-                yield i, "word", words
+                yield i, "linked word" if linked else "long word" if sizes[i] > SHORT else "word", words
         else:
             yield i, value, 1
 
 
+def _block_sizes(tokens: list[tuple[str, str, bool]]) -> list[int]:
+    """For each token the number of words in its block."""
+    out, start, words = [0] * len(tokens), 0, 0
+    for i, (kind, value, _) in enumerate([*tokens, ("tag", "p", False)]):
+        if kind == "text":
+            words += len(value.split())
+        elif value.lstrip("/") in BLOCKS:
+            out[start:i] = [words] * (i - start)
+            start, words = i, 0
+    return out
+
+
 def label_counts(page: str) -> Counter:
     """``(kind, inside)`` counts of a page whose markup names one article; none of other pages."""
     tokens = parse(page)
     articles, found = _articles(tokens), Counter()
     if len(articles) == 1:
         (a, b), = articles
-        for i, kind, n in scored_units(tokens):
+        for i, kind, n in scored_units(tokens, hidden_too=True):
             found[kind, a < i < b] += n
     return found
 
 
 def learn_weights(pages: DataFrame) -> dict[str, float]:
     """Score of each kind of token, from all labelled pages; kinds other than HTML's own names count as one."""
-    known = {*BLOCKS, *NEVER_TEXT, *VOID, "a", "b", "i", "em", "strong", "span", "font", "small", "u", "code", "sup", "sub", "word"}
+    known = {*BLOCKS, *NEVER_TEXT, *VOID, *INLINE, *WORDS}
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = Counter()
@@ -163,19 +184,28 @@ def learn_weights(pages: DataFrame) -> dict[str, float]:
     for kind in {k for k, _ in counts}:
         a, b = counts[kind, True], counts[kind, False]
         odds = math.log((a + 1) / (inside + 2)) - math.log((b + 1) / (outside + 2))
-        prior = PRIOR_WORD if kind == "word" else PRIOR_TAG
+        prior = PRIOR_WORD if kind in WORDS else PRIOR_TAG
         value = (odds * (a + b) + prior * PRIOR_COUNT) / (a + b + PRIOR_COUNT)
-        weights[kind] = min(max(value, LEAST), MOST) if kind == "word" else max(min(value, -LEAST), -MOST)
+        if kind in WORDS:
+            weights[kind] = min(max(value, LEAST_WORD), MOST)
+        else:
+            weights[kind] = -LEAST if kind.lstrip("/") in INLINE else max(min(value, -LEAST), -MOST)
     return weights
 
 
+def score_of(kind: str, weights: dict[str, float]) -> float:
+    if kind in WORDS:
+        return weights.get(kind, weights.get("word", PRIOR_WORD))
+    return weights.get(kind, -LEAST if kind.lstrip("/") in INLINE else weights.get("other", PRIOR_TAG))
+
+
 def content_region(tokens: list[tuple[str, str, bool]], weights: dict[str, float]) -> tuple[int, int]:
     """First and last token of the run with the largest sum, found in one scan; (0, -1) without words."""
     best, span, total, start = 0.0, (0, -1), 0.0, 0
     for i, kind, n in scored_units(tokens):
         if total <= 0:
             total, start = 0.0, i
-        total += n * weights.get(kind, weights.get("other", PRIOR_TAG) if kind != "word" else PRIOR_WORD)
+        total += n * score_of(kind, weights)
         if total > best:
             best, span = total, (start, i)
     return span
