@@ -244,7 +244,7 @@ def piece_counts(docs: DataFrame) -> DataFrame:
     """``piece, n`` over all texts."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, texts in text_blocks(batch.column(0), 1 << 21):
+            for _, _, texts in text_blocks(batch.column(0), 1 << 20):
                 whole, (codes, edges) = "".join(texts), code_points(texts)
                 pieces, kind = distinct_pieces(whole, codes, piece_starts(codes, edges))
                 # longer pieces are not worth a place in the automaton
