@@ -161,14 +161,26 @@ class KeyedFrames:
                        for crosses, start in self._starts_within(at, longest)]
         return per_second.selectExpr("_key", f"inline(array({', '.join(events)}))").where(f"{T} is not null")
 
+    def _neighbours(self, sightings: DataFrame) -> DataFrame:
+        """The sightings with `_before` and `_after`, the ones of the same value next to them as far as a frame reaches.
+
+        Looked up inside blocks; the last sighting of a block is marked in the blocks after it, and the first one in those before it.
+        """
+        reach = max(s for _, s in [*self._distincts.values(), *self._sole.values()])
+        blocks = range(1, -(-reach // self.block) + 1)
+        placed = sightings.selectExpr("*", f"{T} div {self.block} as _b", "false as _mark")
+        marks = [f"struct(_b + {j} as _b, _last as {T}), struct(_b - {j} as _b, _first as {T})" for j in blocks]
+        edges = placed.groupBy("_key", "_value", "_b").agg(F.min(T).alias("_first"), F.max(T).alias("_last")).selectExpr(
+            "_key", "_value", f"inline(array({', '.join(marks)}))").selectExpr("*", "true as _mark")
+        over = f"over (partition by _key, _value, _b order by {T})"
+        return (placed.unionByName(edges, allowMissingColumns=True)
+                .selectExpr("*", f"lag({T}) {over} as _before", f"lead({T}) {over} as _after").where("not _mark").drop("_b", "_mark"))
+
     def _sightings(self, rows: DataFrame) -> list[DataFrame]:
         """+1 where a value comes into the frame, -1 where its last sighting leaves it."""
         out = []
         for value in dict.fromkeys(v for v, _ in [*self._distincts.values(), *self._sole.values()]):
-            over = f"over (partition by _key, _value order by {T})"
-            seen = (rows.groupBy("_key", F.expr(value).alias("_value"), T)
-                    .agg(F.count("transaction_id").alias("_n"))
-                    .selectExpr("*", f"lag({T}) {over} as _before", f"lead({T}) {over} as _after"))
+            seen = self._neighbours(rows.groupBy("_key", F.expr(value).alias("_value"), T).agg(F.count("transaction_id").alias("_n")))
             for name, (v, seconds) in self._distincts.items():
                 if v != value:
                     continue

@@ -78,21 +78,33 @@ def _latest_activity(df: DataFrame, limits: RuleLimits, key: str) -> DataFrame:
     }).drop("_recent", "_slice", "_rt")
 
 
-def prior_in_session(df: DataFrame, idle_s: int = 300, key: str = "customer_id") -> DataFrame:
+def prior_in_session(df: DataFrame, idle_s: int = 300, key: str = "customer_id", block_days: int = 30) -> DataFrame:
     """Count and sum of the key's earlier rows since it was last idle for `idle_s` seconds.
 
-    Worked out on one row per key and second, which bounds a key by the seconds it spans; rows
-    then add what came before them within their own second.
+    Worked out on one row per key and second, in blocks of `block_days` per key; what an open session has so far is carried from block
+    to block over one row per key and block. Rows then add what came before them within their own second.
     """
+    block = block_days * 86400
     rows = df.withColumns({"_rt": C.epoch("timestamp"), "_c": F.expr(units("amount"))})
-    seconds = (rows.where("_rt is not null").groupBy(key, "_rt")
-               .agg(F.count(F.lit(1)).alias("_n"), F.coalesce(F.sum("_c"), F.lit(0)).alias("_sum")))
-    of_key = f"over (partition by {key} order by _rt"
-    started = seconds.selectExpr("*", f"coalesce(_rt - lag(_rt) {of_key}) >= {idle_s}, true) as _new")
-    numbered = started.selectExpr("*", f"count_if(_new) {of_key}) as _session")
-    in_session = f"over (partition by {key}, _session order by _rt rows between unbounded preceding and 1 preceding)"
-    found = numbered.selectExpr(f"{key} as _key", "_rt as _st", f"coalesce(sum(_n) {in_session}, 0) as _n0",
-                                f"coalesce(sum(_sum) {in_session}, 0) as _s0")
+    seconds = (rows.where("_rt is not null").groupBy(F.col(key).alias("_key"), "_rt")
+               .agg(F.count(F.lit(1)).alias("_n"), F.coalesce(F.sum("_c"), F.lit(0)).alias("_sum"))
+               .withColumn("_b", F.expr(f"_rt div {block}")))
+    ends = seconds.groupBy("_key", "_b").agg(F.max("_rt").alias("_end")).selectExpr(
+        "_key as _ek", "_b as _eb", "lag(_end) over (partition by _key order by _b) as _seen")
+    known = seconds.join(ends, F.col("_key").eqNullSafe(F.col("_ek")) & (F.col("_b") == F.col("_eb"))).drop("_ek", "_eb")
+    in_block = "over (partition by _key, _b order by _rt"
+    started = known.selectExpr("*", f"coalesce(_rt - coalesce(lag(_rt) {in_block}), _seen) >= {idle_s}, true) as _new")
+    numbered = started.selectExpr("*", f"count_if(_new) {in_block}) as _session")
+    # What the last session of a block holds; one without a start in its block goes on from the block before.
+    open_at_end = numbered.groupBy("_key", "_b", "_session").agg(F.sum("_n").alias("_tn"), F.sum("_sum").alias("_ts")).groupBy("_key", "_b").agg(
+        F.max("_session").alias("_starts"), F.max_by(F.struct("_tn", "_ts"), "_session").alias("_tail"))
+    chains = open_at_end.selectExpr("*", "sum(cast(_starts > 0 as int)) over (partition by _key order by _b) as _chain")
+    so_far = "over (partition by _key, _chain order by _b)"
+    carried = chains.selectExpr("_key", "_b", f"sum(_tail._tn) {so_far} as _on", f"sum(_tail._ts) {so_far} as _os").selectExpr(
+        "_key as _ck", "_b as _cb", "lag(_on) over (partition by _key order by _b) as _cn", "lag(_os) over (partition by _key order by _b) as _cs")
+    before = "over (partition by _key, _b, _session order by _rt rows between unbounded preceding and 1 preceding)"
+    found = numbered.join(carried, F.col("_key").eqNullSafe(F.col("_ck")) & (F.col("_b") == F.col("_cb"))).selectExpr(
+        "_key", "_rt as _st", f"coalesce(sum(_n) {before}, 0) + if(_session = 0, _cn, 0) as _n0", f"coalesce(sum(_sum) {before}, 0) + if(_session = 0, _cs, 0) as _s0")
     joined = rows.join(found, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_rt") == F.col("_st")), "left")
     peers = Window.partitionBy(key, "_rt").orderBy("timestamp", "transaction_id")
     earlier = peers.rowsBetween(Window.unboundedPreceding, -1)

@@ -102,3 +102,25 @@ def test_answers_are_reused_until_they_expire(spark):
         "timestamp_seconds(1000000 + element_at(array(0, 30, 59, 60, 100, 121), int(transaction_id) + 1))"))
     out = sorted(r["_t"] - 1_000_000 for r in R.first_within(rows, "customer_id", 60).collect())
     assert out == [0, 60, 121]
+
+
+def test_sessions_go_on_over_blocks(spark):
+    """Blocks of a day change nothing, with sessions that last several blocks, rows without a customer and rows without a time."""
+    import random
+
+    from riskflow.operators.rules import prior_in_session
+
+    rng = random.Random(9)
+    rows = [(i, rng.choice(["a", "b", None]), 3600 * rng.randrange(0, 24 * 12) + rng.randrange(2), float(rng.randrange(1, 9))) for i in range(300)]
+    df = spark.createDataFrame(rows, "transaction_id long, customer_id string, s long, amount double").withColumn("timestamp", F.timestamp_seconds(F.col("s") + 1_700_000_000))
+    df = df.unionByName(df.limit(1).withColumns({"timestamp": F.lit(None).cast("timestamp"), "transaction_id": F.lit(999).cast("long")}))
+    whole, cut = ({r.transaction_id: (r.prior_count, r.prior_amount) for r in prior_in_session(df, 4 * 3600, block_days=b).collect()} for b in (10_000, 1))
+    want = {}
+    for c in ("a", "b", None):
+        last, n, total = None, 0, 0.0
+        for i, _, s, amount in sorted((r for r in rows if r[1] == c), key=lambda r: (r[2], r[0])):
+            if last is None or s - last >= 4 * 3600:
+                n, total = 0, 0.0
+            want[i] = (n, total)
+            last, n, total = s, n + 1, total + amount
+    assert {i: v for i, v in cut.items() if i != 999} == want and whole == cut and max(n for n, _ in want.values()) > 10
