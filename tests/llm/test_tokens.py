@@ -115,6 +115,30 @@ def test_search_empties_bins_that_best_fit_leaves():
     assert len(packing.pack(sizes, 100)) < len(packing.best_fit(sizes, 100))
 
 
+def fewest_bins(sizes, capacity):
+    """By trying all ways: per subset the fewest bins and the least fill of the last one."""
+    best = {0: (1, 0)}
+    for have in range(1, 1 << len(sizes)):
+        options = []
+        for i, size in enumerate(sizes):
+            if have >> i & 1:
+                bins, fill = best[have ^ 1 << i]
+                options.append((bins, fill + size) if fill + size <= capacity else (bins + 1, size))
+        best[have] = min(options)
+    return best[(1 << len(sizes)) - 1][0]
+
+
+def test_small_inputs_take_as_few_sequences_as_all_ways():
+    rng = np.random.default_rng(12)
+    more = 0
+    for _ in range(80):
+        sizes = rng.integers(1, 100, rng.integers(1, 10))
+        extra = len(packing.pack(sizes, 100)) - fewest_bins(sizes.tolist(), 100)
+        assert extra in (0, 1)
+        more += extra
+    assert more <= 4
+
+
 def test_packing_documents(docs, texts, library, no_docs):
     got = packing.pack_documents(docs, VOCAB, capacity=256, group=12).toPandas()
     want = []
