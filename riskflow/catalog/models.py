@@ -173,8 +173,11 @@ def batch_score(spark, sf_dir):
 
 @query("top_features")
 def top_features(spark, sf_dir):
+    """The importance table, by way of its file."""
     train, validation, test = _parts(spark, sf_dir)
-    return E.importance(E.fit_primary(train, validation, MODEL_FEATURES), test)
+    path = scratch_dir(spark, "importance")
+    IO.write_csv(E.importance(E.fit_primary(train, validation, MODEL_FEATURES), test), path)
+    return spark.read.option("header", "true").schema("feature string, importance double").csv(path)
 
 
 @query("row_contributions", TX_CTE + f"""SELECT transaction_id, CAST(10 AS BIGINT) AS features, true AS adds_up FROM (
