@@ -155,6 +155,16 @@ def test_sketches_are_near_the_exact_counts(spark):
     assert kept.count() == kept.select("_key", "slice").distinct().count() < 600
 
 
+def test_confirmed_sketches_are_exact_and_wrong_ones_stay_visible(spark):
+    from riskflow.operators.sketches import approx_distinct, confirmed_distinct
+
+    rows = spark.range(9_000).select((F.col("id") % 2).alias("k"), (F.col("id") * 7).alias("_t"), F.col("id").alias("transaction_id"), F.pmod(F.xxhash64("id"), F.lit(2500)).alias("v"))
+    exact = {tuple(r) for r in KeyedFrames("k").distinct("n", 86_400, "v").compute(rows).collect()}
+    assert {tuple(r) for r in confirmed_distinct(rows, "k", "v", 86_400, "n", 24).collect()} == exact
+    assert {tuple(r) for r in approx_distinct(rows, "k", "v", 86_400, "n", 24).collect()} != exact
+    assert {tuple(r) for r in confirmed_distinct(rows, "k", "v", 86_400, "n", 24, error=0).collect()} != exact
+
+
 def test_median_does_not_depend_on_the_size_of_a_key(spark):
     from riskflow.operators.quantiles import frame_median
 
