@@ -152,9 +152,10 @@ def topic_counts(spark, sf_dir):
 
 # -- messages -----------------------------------------------------------------------------
 
-def message_text(spark, sf_dir):
-    """Transactions as JSON messages; some are cut short, some have an amount that is no number."""
-    tx = transactions(spark, sf_dir).select(
+def message_text(spark, sf_dir, spread=False):
+    """Transactions as JSON messages; some are cut short, some have an amount that is no number. `spread`: dealt over the tasks anew."""
+    tx = transactions(spark, sf_dir)
+    tx = (tx.repartition("transaction_id") if spread else tx).select(
         F.col("transaction_id").cast("string"), F.col("customer_id").cast("string"),
         F.when(F.col("transaction_id") % 101 == 0, "abc").otherwise(F.col("amount").cast("string")).alias("amount"),
         F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("timestamp"), "transaction_type",
@@ -164,6 +165,15 @@ def message_text(spark, sf_dir):
                             F.substring(text, 1, 30)).otherwise(text).alias("value"))
 
 
+def stored_messages(spark, sf_dir):
+    """The messages with the time that they carry (`sent`, null where it cannot be read), made once and by all cores, as the parts read them often."""
+    path = scratch_dir(spark, "messages")
+    wide = message_text(spark, sf_dir, spread=True)
+    stamp = F.regexp_extract("value", '"timestamp":"([^"]*)"', 1)
+    wide.withColumn("sent", F.when(stamp != "", F.to_timestamp(stamp, "yyyy-MM-dd HH:mm:ss.SSSSSS"))).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 _GOOD = "transaction_id % 101 <> 0 AND transaction_id % 103 <> 0"
 
 
@@ -237,9 +247,9 @@ def stream_repeat_suppress(spark, sf_dir):
 def _run_rules_stream(spark, sf_dir, parts: int = 1):
     """Messages as files, one trigger per part; the stream is stopped and restarted between parts."""
     base = scratch_dir(spark, "rules-stream")
-    text = message_text(spark, sf_dir).withColumn("sent", F.get_json_object("value", "$.timestamp"))
+    text = stored_messages(spark, sf_dir)
     # Consecutive time ranges of about as many messages arrive one after the other, unreadable ones with the first.
-    seconds = F.unix_timestamp("sent", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    seconds = F.unix_timestamp("sent")
     edges = text.agg(F.percentile_approx(seconds, [i / parts for i in range(1, parts)]) if parts > 1 else F.array()).first()[0]
     place = F.coalesce(reduce(lambda a, b: a + b, [(seconds >= e).cast("int") for e in edges], F.lit(0)), F.lit(0))
     for part in range(parts):
@@ -272,10 +282,7 @@ _LATE_S = 3 * 86400
 
 def _arrivals(spark, sf_dir, parts, jitter_s=0):
     """The messages in parts of about equal size as they arrive, out of order by up to `jitter_s`; a last one moves the clock on."""
-    text = message_text(spark, sf_dir)
-    sent = F.to_timestamp(F.regexp_extract("value", '"timestamp":"([^"]*)"', 1), "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    sent = F.when(F.col("value").rlike('"timestamp":"[^"]*"'), sent)
-    text = text.withColumn("at", F.unix_timestamp(sent) + F.pmod(F.xxhash64("value"), F.lit(jitter_s + 1)))
+    text = stored_messages(spark, sf_dir).withColumn("at", F.unix_timestamp("sent") + F.pmod(F.xxhash64("value"), F.lit(jitter_s + 1)))
     edges, last = text.agg(F.percentile_approx("at", [i / parts for i in range(1, parts)] or [1.0]), F.max("at")).first()
     place = F.coalesce(reduce(lambda a, b: a + b, [(F.col("at") >= e).cast("int") for e in edges[:parts - 1]], F.lit(0)), F.lit(0))
     end = F.to_json(F.struct(F.lit("0").alias("transaction_id"), F.lit("clock").alias("customer_id"), F.lit("1").alias("amount"),

@@ -18,14 +18,15 @@ from riskflow.operators.rules import RuleLimits, score_rules
 from riskflow.session import scratch_dir
 from riskflow.sources.tables import table_exists
 from riskflow.streaming import messages as M
-from riskflow.streaming.settled import settled_activity
+from riskflow.streaming.settled import BUCKETS, settled_activity
 
 SINKS = {"scored": S.TOPIC_SCORED, "alerts": S.TOPIC_ALERTS, "dead": S.TOPIC_DEAD_LETTER}
 ROUTED = "topic string, key string, value string, reason string"
 COUNTERS = "batch long, processed long, alerts long, for_model long, errors long, late long, latency_ms double, sla_breaches long"
 
 
-def enriched_stream(messages: DataFrame, limits: RuleLimits = RuleLimits(), mode: str = "window", late_s: int = 600, sla_ms: int = 100) -> DataFrame:
+def enriched_stream(messages: DataFrame, limits: RuleLimits = RuleLimits(), mode: str = "window", late_s: int = 600, sla_ms: int = 100,
+                    buckets: int | None = None) -> DataFrame:
     """Every message once, enriched or with the reason why it is a dead letter; counters are observed under `engine`.
 
     Latency is measured from the arrival that the source tells (`arrived`, epoch milliseconds) to the batch in which the answer leaves.
@@ -34,7 +35,7 @@ def enriched_stream(messages: DataFrame, limits: RuleLimits = RuleLimits(), mode
     decoded = M.decode(messages, keep="arrived" if has_arrival else None)
     reason = F.when(M.is_dead_letter(), M.dead_reason())
     rows = decoded.withColumns({"dead": reason, "payload": F.col("_raw"), "arrived": F.col("arrived") if has_arrival else F.lit(None).cast("long")})
-    found = settled_activity(rows.drop(M.CORRUPT, "_raw"), limits, mode, late_s)
+    found = settled_activity(rows.drop(M.CORRUPT, "_raw"), limits, mode, late_s, buckets)
     gone = F.coalesce("dead", F.when(F.col("late").isNotNull(), "late"))
     out = M.whole_record(score_rules(found, limits), keep=["payload"]).withColumn("reason", gone).drop("late", "dead")
     fine, wait = F.col("reason").isNull(), F.unix_millis("enriched_at") - F.nullif("arrived", F.lit(0))
@@ -56,7 +57,7 @@ def routed(enriched: DataFrame) -> DataFrame:
 
 
 def start_engine(messages: DataFrame, out: str, checkpoint: str, limits: RuleLimits = RuleLimits(), mode: str = "window", late_s: int = 600,
-                 available_now: bool = True, name: str | None = None) -> StreamingQuery:
+                 available_now: bool = True, name: str | None = None, buckets: int | None = None) -> StreamingQuery:
     """Start the query; `out` gets a folder per sink and `commits`."""
     def sink(df: DataFrame, batch_id: int) -> None:
         sent = routed(df).persist()                            # the state is passed once
@@ -72,7 +73,7 @@ def start_engine(messages: DataFrame, out: str, checkpoint: str, limits: RuleLim
         finally:
             sent.unpersist()
 
-    writer = enriched_stream(messages, limits, mode, late_s).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    writer = enriched_stream(messages, limits, mode, late_s, buckets=buckets).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     writer = writer.queryName(name) if name else writer
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
@@ -123,7 +124,7 @@ class CounterTable(StreamingQueryListener):
 
 
 def run_parts(spark: SparkSession, parts: list[DataFrame], limits: RuleLimits, mode: str = "window", late_s: int = 600,
-              label: str = "engine", counters: bool = False) -> tuple[str, CounterTable | None]:
+              label: str = "engine", counters: bool = False, buckets: int | None = BUCKETS) -> tuple[str, CounterTable | None]:
     """Append the parts to an inbox one after the other, each with a start of the query of its own over one checkpoint."""
     base = scratch_dir(spark, label)
     table = CounterTable(spark, f"{base}/counters") if counters else None
@@ -132,7 +133,7 @@ def run_parts(spark: SparkSession, parts: list[DataFrame], limits: RuleLimits, m
     try:
         for part in parts:
             part.write.mode("append").text(f"{base}/in")
-            query = start_engine(M.message_stream(spark, "text", path=f"{base}/in", maxFilesPerTrigger="1000"), f"{base}/out", f"{base}/checkpoint", limits, mode, late_s)
+            query = start_engine(M.message_stream(spark, "text", path=f"{base}/in", maxFilesPerTrigger="1000"), f"{base}/out", f"{base}/checkpoint", limits, mode, late_s, buckets=buckets)
             query.awaitTermination()
             if table:
                 table.wait(query)

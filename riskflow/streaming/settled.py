@@ -1,6 +1,7 @@
 """Prior activity on a stream in order of event time, with watermark, timers and state that ends.
 
-Rows wait in the state of their customer until the watermark has passed their time, so each is judged when everything before it is
+Customers can be dealt into groups that keep their state together, so that a micro-batch costs calls to the state per group and
+not per customer, and rows wait as one value per group and batch of them. Rows wait in the state until the watermark has passed their time, so each is judged when everything before it is
 there, and in the same way however the stream is cut into micro-batches. A row behind the watermark comes out at once with its message in
 `late`, for the dead letters. What a customer's later rows can look back to is kept per second, at most window and lateness of them,
 and a timer clears it when the watermark has passed the last second by the window.
@@ -22,6 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from riskflow.operators.frames import UNIT, units
@@ -42,7 +44,12 @@ WAITING = T.StructType([
 ])
 FOUND = T.StructType(WAITING.fields + [T.StructField("prior_count", T.LongType()), T.StructField("prior_amount", T.DoubleType()),
                                        T.StructField("late", T.StringType()), T.StructField("dead", T.StringType())])
-_SECOND = T.StructType([T.StructField("s", T.LongType())])
+_PACKED = T.StructType([T.StructField("rows", T.BinaryType())])
+#: Groups of customers whose state is passed at once.
+BUCKETS = 1024
+_SHIFT = 1 << 39                                               # makes seconds before 1970 positive
+_CUSTOMER = T.StructType([T.StructField("customer", T.StringType())])
+_SECOND = T.StructType([T.StructField("customer", T.StringType()), T.StructField("s", T.LongType())])
 _SUM = T.StructType([T.StructField("n", T.LongType()), T.StructField("units", T.LongType())])
 _SESSION = T.StructType([T.StructField("last", T.LongType()), T.StructField("n", T.LongType()), T.StructField("units", T.LongType())])
 
@@ -71,24 +78,36 @@ def with_ticks(rows: DataFrame, late_s: int, at: str = "timestamp") -> DataFrame
     return rows.mapInArrow(run, schema).withWatermark(CLOCK, f"{late_s} seconds")
 
 
-def _tuples(rows: pd.DataFrame) -> list[tuple]:
-    """Rows for the state, with whole numbers as such and missing values as None."""
-    whole = [isinstance(f.dataType, (T.LongType, T.IntegerType)) for f in WAITING.fields]
-    columns = [[None if pd.isna(v) else int(v) if w else v for v in rows[f.name].tolist()] for f, w in zip(WAITING.fields, whole, strict=True)]
-    return list(zip(*columns, strict=True))
+def _packed(rows: pd.DataFrame) -> tuple[bytes]:
+    """Rows as one value of the state."""
+    out = pa.BufferOutputStream()
+    batch = pa.RecordBatch.from_pandas(rows[WAITING.fieldNames()], to_arrow_schema(WAITING), preserve_index=False)
+    with pa.ipc.new_stream(out, batch.schema) as writer:
+        writer.write_batch(batch)
+    return (out.getvalue().to_pybytes(),)
+
+
+def _unpacked(values: Iterable[tuple]) -> pd.DataFrame:
+    parts = [pa.ipc.open_stream(v[0]).read_all() for v in values] or [to_arrow_schema(WAITING).empty_table()]
+    return pa.concat_tables(parts).to_pandas(integer_object_nulls=True)
+
+
+def _customers(rows: pd.DataFrame) -> np.ndarray:
+    """Customers as keys of the state; a missing one is one of its own kind."""
+    return np.array(["" if pd.isna(c) else f"={c}" for c in rows["customer_id"].tolist()], dtype=object)
 
 
 class _Settled(StatefulProcessor):
-    """Rows of a customer wait until the watermark has passed them; subclasses judge them in order."""
+    """Rows of a group of customers wait until the watermark has passed them; subclasses judge them in order."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", WAITING)
+        self.waiting = handle.getListState("waiting", _PACKED)
         self.due = handle.getValueState("due", T.StructType([T.StructField("ms", T.LongType())]))
         self.open(handle)
 
     def wake(self, ms: int | None) -> None:
-        """Set the one timer of the customer."""
+        """Set the one timer of the group."""
         if self.due.exists():
             self.handle.deleteTimer(self.due.get()[0])
         if ms is None:
@@ -109,7 +128,7 @@ class _Settled(StatefulProcessor):
                 yield gone[FOUND.fieldNames()]
             stays = pdf.loc[~late, WAITING.fieldNames()]
             if len(stays):
-                self.waiting.appendList(_tuples(stays))
+                self.waiting.appendValue(_packed(stays))
                 first = min(int(stays["micros"].min()), first if first is not None else np.iinfo("int64").max)
         if first is not None:
             ms = first // 1000 + 1
@@ -119,12 +138,12 @@ class _Settled(StatefulProcessor):
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         mark = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = pd.DataFrame.from_records(list(self.waiting.get()) if self.waiting.exists() else [], columns=WAITING.fieldNames())
+        rows = _unpacked(list(self.waiting.get()) if self.waiting.exists() else [])
         now = rows["micros"] < mark
         ready, rest = rows[now].sort_values(["micros", "id_number", "transaction_id"], ignore_index=True), rows[~now]
         self.due.clear()                                       # the timer is spent
         if len(rest):
-            self.waiting.put(_tuples(rest))
+            self.waiting.put([_packed(rest)])
         else:
             self.waiting.clear()
         end = self.judge(ready, mark // 1_000_000)
@@ -157,28 +176,32 @@ class WindowActivity(_Settled):
         self.seconds = handle.getMapState("seconds", _SECOND, _SUM)
 
     def judge(self, ready: pd.DataFrame, mark_s: int) -> int | None:
-        kept = {k[0]: (v[0], v[1]) for k, v in self.seconds.iterator()} if self.seconds.exists() else {}
-        old = np.array(sorted(kept), "int64")
+        kept = [(k[0], k[1], v[0], v[1]) for k, v in self.seconds.iterator()] if self.seconds.exists() else []
+        kept.sort(key=lambda k: k[:2])
         at = ready["micros"].to_numpy("int64") // 1_000_000
-        sec = np.concatenate([old, at])
-        amount = np.concatenate([np.array([kept[s][1] for s in old.tolist()], "int64"), ready["units"].to_numpy("int64")])
-        count = np.concatenate([np.array([kept[s][0] for s in old.tolist()], "int64"), np.ones(len(at), "int64")])
+        code, names = pd.factorize(np.concatenate([np.array([k[0] for k in kept], dtype=object), _customers(ready)]))
+        old = np.array([k[1] for k in kept], "int64")
+        # Customer and second as one number, which orders the seconds within each customer.
+        place_of = code.astype("int64") << 40
+        sec = place_of + np.concatenate([old, at]) + _SHIFT
+        count = np.concatenate([np.array([k[2] for k in kept], "int64"), np.ones(len(at), "int64")])
+        amount = np.concatenate([np.array([k[3] for k in kept], "int64"), ready["units"].to_numpy("int64")])
         order = np.argsort(sec, kind="stable")                 # what is kept of a second comes before its new rows
-        sec, amount, count = sec[order], amount[order], count[order]
-        n, total = np.append(0, np.cumsum(count)), np.append(0, np.cumsum(amount))
+        n, total = np.append(0, np.cumsum(count[order])), np.append(0, np.cumsum(amount[order]))
         place = np.empty(len(order), "int64")
         place[order] = np.arange(len(order))
-        place = place[len(old):]
-        start = np.searchsorted(sec, at - self.window_s)
+        place, ordered = place[len(old):], sec[order]
+        start = np.searchsorted(ordered, np.maximum(sec[len(old):] - self.window_s, place_of[len(old):]))
         ready["prior_count"], ready["prior_amount"] = n[place] - n[start], (total[place] - total[start]) / UNIT
         first = mark_s - self.window_s                         # rows still to come are at or behind the watermark
-        for s in old[old < first].tolist():
-            self.seconds.removeKey((s,))
-        fresh = np.unique(at[at >= first])
-        lo, hi = np.searchsorted(sec, fresh), np.searchsorted(sec, fresh, side="right")
-        for s, a, b in zip(fresh.tolist(), lo.tolist(), hi.tolist(), strict=True):
-            self.seconds.updateValue((s,), (int(n[b] - n[a]), int(total[b] - total[a])))
-        last = max([int(s) for s in (old[-1:], at[-1:]) for s in s], default=None)
+        for customer, s, _, _ in kept:
+            if s < first:
+                self.seconds.removeKey((customer, s))
+        fresh = np.unique(sec[len(old):][at >= first])
+        lo, hi = np.searchsorted(ordered, fresh), np.searchsorted(ordered, fresh, side="right")
+        for c, s, a, b in zip((fresh >> 40).tolist(), ((fresh & ((1 << 40) - 1)) - _SHIFT).tolist(), lo.tolist(), hi.tolist(), strict=True):
+            self.seconds.updateValue((names[c], s), (int(n[b] - n[a]), int(total[b] - total[a])))
+        last = max([int(s.max()) for s in (old, at) if len(s)], default=None)
         return last + self.window_s + 1 if last is not None and last >= first else None
 
 
@@ -189,40 +212,52 @@ class SessionActivity(_Settled):
         self.idle_s = idle_s
 
     def open(self, handle: StatefulProcessorHandle) -> None:
-        self.session = handle.getValueState("session", _SESSION)
+        self.sessions = handle.getMapState("sessions", _CUSTOMER, _SESSION)
 
     def judge(self, ready: pd.DataFrame, mark_s: int) -> int | None:
-        last, n, total = self.session.get() if self.session.exists() else (None, 0, 0)
-        counts, amounts = [], []
-        for at, amount in zip((ready["micros"] // 1_000_000).tolist(), ready["units"].tolist(), strict=True):
+        kept = {k[0]: tuple(v) for k, v in self.sessions.iterator()} if self.sessions.exists() else {}
+        now, counts, amounts = dict(kept), [], []
+        for customer, at, amount in zip(_customers(ready).tolist(), (ready["micros"] // 1_000_000).tolist(), ready["units"].tolist(), strict=True):
+            last, n, total = now.get(customer, (None, 0, 0))
             if last is None or at - last >= self.idle_s:
                 n = total = 0
             counts.append(n)
             amounts.append(total / UNIT)
-            last, n, total = at, n + 1, total + amount
+            now[customer] = at, n + 1, total + amount
         ready["prior_count"], ready["prior_amount"] = counts, amounts
-        if last is None or last + self.idle_s <= mark_s:
-            self.session.clear()
-            return None
-        self.session.update((last, n, total))
-        return last + self.idle_s
-
-
-def settled_activity(decoded: DataFrame, limits: RuleLimits = RuleLimits(), mode: str = "window", late_s: int = 600) -> DataFrame:
+        end = None
+        for customer, session in now.items():
+            if session[0] + self.idle_s <= mark_s:
+                if customer in kept:
+                    self.sessions.removeKey((customer,))
+                continue
+            if session != kept.get(customer):
+                self.sessions.updateValue((customer,), session)
+            end = max(session[0] + self.idle_s, end or session[0] + self.idle_s)
+        return end
+
+
+def settled_activity(decoded: DataFrame, limits: RuleLimits = RuleLimits(), mode: str = "window", late_s: int = 600,
+                     buckets: int | None = None) -> DataFrame:
     """Transactions with their prior activity, once the watermark has passed them; unreadable and late ones at once.
 
     `decoded` has `payload`, `dead` (why a message is unreadable, else null) and `arrived` (epoch milliseconds) beside the message's columns.
+    With `buckets`, as many groups of customers share their state; it changes no result, and stays as it is over the life of a checkpoint.
     """
     if limits.history is not None:
         raise ValueError("the state is kept per second, so the latest rows cannot be told apart")
     processors = {"window": lambda: WindowActivity(limits.window_s), "ttl_session": lambda: SessionActivity(limits.window_s)}
     decoded.sparkSession.conf.set(STATE_STORE, ROCKSDB)
+    # Unreadable messages touch no state; they are spread, not gathered under the missing customer.
+    if buckets:
+        owner = F.pmod(F.when(F.col("dead").isNull(), F.xxhash64("customer_id")).otherwise(F.xxhash64("payload")), F.lit(buckets))
+    else:
+        owner = F.when(F.col("dead").isNull(), F.col("customer_id")).otherwise(F.concat(F.lit("?"), F.pmod(F.xxhash64("payload"), F.lit(4096))))
     prepared = decoded.withColumns({
         "micros": F.coalesce(F.unix_micros("timestamp"), F.lit(0)), "arrived": F.coalesce("arrived", F.lit(0)), "units": F.coalesce(F.expr(units("amount")), F.lit(0)),
         # Ids that are numbers are ordered as numbers.
         "id_number": F.coalesce(F.col("transaction_id").try_cast("bigint"), F.lit(0)),
-        # Unreadable messages touch no state; they are spread, not gathered under the missing customer.
-        "owner": F.when(F.col("dead").isNull(), F.col("customer_id")).otherwise(F.concat(F.lit("?"), F.pmod(F.xxhash64("payload"), F.lit(4096))))})
+        "owner": owner})
     rows = with_ticks(prepared.select(*WAITING.fieldNames(), "dead", "owner", F.when(F.col("dead").isNull(), F.col("timestamp")).alias("timestamp")), late_s)
     found = rows.groupBy("owner").transformWithStateInPandas(
         statefulProcessor=processors[mode](), outputStructType=FOUND, outputMode="append", timeMode="eventTime")

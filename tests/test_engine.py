@@ -110,3 +110,15 @@ def test_one_query_reads_the_source_once(spark, tmp_path):
     query.awaitTermination()
     assert [s["numInputRows"] for p in query.recentProgress for s in p["sources"]][0] == 1
     assert S.TOPIC_SCORED in E.SINKS.values()
+
+
+@pytest.mark.parametrize("mode", ["window", "ttl_session"])
+def test_groups_of_customers_give_what_single_ones_do(spark, tmp_path, mode):
+    texts, found = [*arrivals(60, 100), message(9999, 0, timestamp=END)], []
+    spark.createDataFrame([(t,) for t in texts], "value string").write.text(str(tmp_path / "in"))
+    for buckets in (None, 2):
+        out, cp = str(tmp_path / f"out{buckets}"), str(tmp_path / f"cp{buckets}")
+        source = M.message_stream(spark, "text", path=str(tmp_path / "in"))
+        E.start_engine(source, out, cp, RuleLimits(window_s=60), mode, buckets=buckets).awaitTermination()
+        found.append(sorted(map(str, scored(spark, out))))
+    assert found[0] == found[1] and found[0]
