@@ -136,8 +136,12 @@ def _ask_geo(f: KeyedFrames, home: str) -> None:
 
 def _resolve_previous(df: DataFrame, key: str = "customer_id") -> DataFrame:
     """The row before this one: within its second if there is one, else `_prev` of the frames."""
-    w = Window.partitionBy(key, T).orderBy("timestamp", "transaction_id")
-    return df.withColumn("_prev", F.coalesce(F.lag(F.expr(_PAYLOAD)).over(w), F.col("_prev")))
+    return _with_peer(df, key).withColumn("_prev", F.coalesce("_peer", "_prev")).drop("_peer")
+
+
+def _with_peer(df: DataFrame, key: str = "customer_id") -> DataFrame:
+    """`_peer`: the row before this one within its second."""
+    return df.withColumn("_peer", F.lag(F.expr(_PAYLOAD)).over(Window.partitionBy(key, T).orderBy("timestamp", "transaction_id")))
 
 
 def _geo(df: DataFrame, max_kmph: float) -> DataFrame:
@@ -283,7 +287,7 @@ def add_temporal_features(df: DataFrame, fraud_hours=S.FRAUD_HOURS, weekend=S.WE
 
 def build_features(df: DataFrame, *, home_country: str = "IND", max_kmph: float = 900,
                    max_customers: int = 2, as_of: bool = False, exclude_current: bool = False,
-                   hot_rows: int = 2000, fraud_hours=S.FRAUD_HOURS, weekend=S.WEEKEND, block_days: int = 90) -> DataFrame:
+                   hot_rows: int = 2000, fraud_hours=S.FRAUD_HOURS, weekend=S.WEEKEND, block_days: int = 30) -> DataFrame:
     """All feature groups; the rows themselves are exchanged once per key.
 
     `df` is read once per part of a frame, so what is expensive to make should be stored before.
@@ -299,10 +303,11 @@ def build_features(df: DataFrame, *, home_country: str = "IND", max_kmph: float
     address = KeyedFrames("ip_address", block_days).count("ip_txn_count_1h", S.HOUR)
 
     base = with_second(df)
-    out = _resolve_previous(customer.attach(base))
-    # The frames of the other keys are computed from the input, not from the widened rows.
-    for frames in (device, address, merchant):
+    # The frames are computed from the input, not from the widened rows; the rows are exchanged with the few columns first.
+    out = _with_peer(base)
+    for frames in (address, device, merchant, customer):
         out = frames.attach(out, source=base)
+    out = out.withColumn("_prev", F.coalesce("_peer", "_prev")).drop("_peer")
     out = _geo(_behavior(_velocity(out, as_of)), max_kmph)
     out = _merchant(_device(out, max_customers, exclude_current), exclude_current)
     return _finish(_temporal(out, fraud_hours, weekend), df.columns)

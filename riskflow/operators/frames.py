@@ -7,7 +7,8 @@ exits, which costs the same for a key with ten rows as for one that holds a thir
 1. rows are pre-aggregated to one per key and second, with map-side combine;
 2. each of these becomes one entry plus one exit per frame length;
 3. the running sums are taken inside blocks of `block_days` per key. What is still in a frame when
-   a block starts enters it there once more, so a block needs nothing from the ones before.
+   a block starts is one more entry, a sum over the totals of the blocks before, of which there is
+   one row per key and block that has rows. So the number of events does not depend on the blocks.
 
 No group is larger than the seconds of one block, whatever the row count. Sums are exact
 (integers and decimals), so taking rows out again leaves no rounding residue.
@@ -41,12 +42,12 @@ class KeyedFrames:
     block holds whole days.
     """
 
-    def __init__(self, key: str, block_days: int = 90):
+    def __init__(self, key: str, block_days: int = 30):
         self.key = key
         self.block = block_days * DAY
         self._measures: dict[str, str] = {}                     # aggregate -> column
         self._totals: dict[str, tuple[str, str]] = {}           # name -> column, exit time
-        self._longest: dict[str, int] = {}                      # exit time -> longest stay
+        self._stays: dict[str, int] = {}                        # exit time -> seconds of the frame, 0 if it ends with the day
         self._distincts: dict[str, tuple[str, int]] = {}
         self._sole: dict[str, tuple[str, int]] = {}
         self._values: dict[str, Callable[[DataFrame], DataFrame]] = {}
@@ -66,10 +67,10 @@ class KeyedFrames:
 
     def total_today(self, name: str, value: str) -> KeyedFrames:
         """Sum over the calendar day so far."""
-        return self._add(name, f"sum({value})", f"{T} - pmod({T}, {DAY}) + {DAY}", DAY)
+        return self._add(name, f"sum({value})", f"{T} - pmod({T}, {DAY}) + {DAY}", 0)
 
-    def _add(self, name: str, aggregate: str, leaves: str, longest: int) -> KeyedFrames:
-        self._longest[leaves] = longest
+    def _add(self, name: str, aggregate: str, leaves: str, seconds: int) -> KeyedFrames:
+        self._stays[leaves] = seconds
         column = self._measures.setdefault(aggregate, f"_m{len(self._measures)}")
         self._totals[name] = (column, leaves)
         return self
@@ -117,7 +118,7 @@ class KeyedFrames:
             measures.append(f"max({self._previous}) as _last")
         per_second = rows.groupBy("_key", T).agg(*[F.expr(m) for m in measures or ["count(1) as _n"]])
 
-        parts = [self._entries_and_exits(per_second), *self._sightings(rows)]
+        parts = [self._entries_and_exits(per_second), *self._carried(per_second), *self._sightings(rows)]
         parts += [fn(rows).withColumn("_kind", F.lit(_CHANGE)) for fn in self._values.values()]
         if self._daily:
             parts.append(self._day_markers(rows))
@@ -126,6 +127,9 @@ class KeyedFrames:
         events = parts[0]
         for other in parts[1:]:
             events = events.unionByName(other, allowMissingColumns=True)
+        # What leaves a frame after the last row of the table changes none.
+        end = rows.agg(F.max(T).alias("_end"))
+        events = events.join(F.broadcast(end), F.col(T) <= F.col("_end")).drop("_end")
         return self._sweep(events.withColumn("_block", F.expr(f"{T} div {self.block}")))
 
     def _starts_within(self, leaves: str, longest: int) -> list[tuple[str, str]]:
@@ -154,24 +158,40 @@ class KeyedFrames:
             return f"struct({', '.join(fields)})"
 
         events = [event(T, _ROW, "", None)]
-        for at, longest in self._longest.items():
+        for at in self._stays:
             # A stay that ends where a block starts has not been carried into it.
             events.append(f"if(pmod({at}, {self.block}) = 0, null, {event(at, _CHANGE, '-', at)})")
-            events += [f"if({crosses}, {event(start, _CARRY, '', at)}, null)"
-                       for crosses, start in self._starts_within(at, longest)]
         return per_second.selectExpr("_key", f"inline(array({', '.join(events)}))").where(f"{T} is not null")
 
+    def _carried(self, per_second: DataFrame) -> list[DataFrame]:
+        """At the start of each block of a key: what is still in the frames.
+
+        A frame reaches back over whole blocks and the end of one more, so one row per key and block holds the totals of both.
+        """
+        stays = {name: (column, *divmod(self._stays[leaves], self.block)) for name, (column, leaves) in self._totals.items() if self._stays[leaves]}
+        if not stays:
+            return []
+        sums = {f"_w{column}": f"sum({column})" for column, whole, _ in stays.values() if whole}
+        sums |= {f"_e{column}_{part}": f"sum(if(pmod({T}, {self.block}) >= {self.block - part}, {column}, null))" for column, _, part in stays.values() if part}
+        blocks = per_second.groupBy("_key", F.expr(f"{T} div {self.block}").alias("_b")).agg(*[F.expr(e).alias(n) for n, e in sums.items()])
+        over = "over (partition by _key order by _b range between {} preceding and {} preceding)".format
+        fields = []
+        for name, (column, whole, part) in stays.items():
+            found = [f"sum(_w{column}) {over(whole, 1)}"] * bool(whole) + [f"sum(_e{column}_{part}) {over(whole + 1, whole + 1)}"] * bool(part)
+            both = found if len(found) < 2 else [f"coalesce({found[0]} + {found[1]}, {found[0]}, {found[1]})"]
+            fields.append(f"{both[0]} as {name}")
+        return [blocks.selectExpr("_key", f"_b * {self.block} as {T}", f"{_CARRY} as _kind", *fields)]
+
     def _neighbours(self, sightings: DataFrame) -> DataFrame:
-        """The sightings with `_before` and `_after`, the ones of the same value next to them as far as a frame reaches.
+        """The sightings with `_before` and `_after`, the ones of the same value next to them.
 
-        Looked up inside blocks; the last sighting of a block is marked in the blocks after it, and the first one in those before it.
+        Looked up inside blocks; the first and the last sighting of a block are marked in the next blocks that have the value.
         """
-        reach = max(s for _, s in [*self._distincts.values(), *self._sole.values()])
-        blocks = range(1, -(-reach // self.block) + 1)
         placed = sightings.selectExpr("*", f"{T} div {self.block} as _b", "false as _mark")
-        marks = [f"struct(_b + {j} as _b, _last as {T}), struct(_b - {j} as _b, _first as {T})" for j in blocks]
+        next_to = "over (partition by _key, _value order by _b)"
         edges = placed.groupBy("_key", "_value", "_b").agg(F.min(T).alias("_first"), F.max(T).alias("_last")).selectExpr(
-            "_key", "_value", f"inline(array({', '.join(marks)}))").selectExpr("*", "true as _mark")
+            "_key", "_value", "_b", f"array(lag(_last) {next_to}, lead(_first) {next_to}) as _marks").selectExpr(
+            "_key", "_value", "_b", f"explode(_marks) as {T}").where(f"{T} is not null").selectExpr("*", "true as _mark")
         over = f"over (partition by _key, _value, _b order by {T})"
         return (placed.unionByName(edges, allowMissingColumns=True)
                 .selectExpr("*", f"lag({T}) {over} as _before", f"lead({T}) {over} as _after").where("not _mark").drop("_b", "_mark"))

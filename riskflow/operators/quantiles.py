@@ -1,6 +1,6 @@
 """Median over a trailing frame.
 
-Keys with few rows use Spark's own sliding percentile, whose cost grows with rows times frame.
+Keys with few rows are read in order with their frame kept sorted.
 Keys with more than `hot_rows` rows are resolved by a search over the digits of the value: per
 round, running counts (as in `frames`) say how many values of the frame lie under each digit, and
 every second narrows its prefix to the digit that holds its middle value. A fixed number of rounds
@@ -9,8 +9,16 @@ ends at the exact value, and each round is spread over (key, prefix, block).
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_left, insort
+from collections import deque
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from riskflow.operators.frames import UNIT
 from riskflow.session import checkpoints
@@ -40,9 +48,50 @@ def frame_median(rows: DataFrame, seconds: int, name: str, hot_rows: int = 2000,
 
 
 def _sliding_median(points: DataFrame, seconds: int, name: str) -> DataFrame:
-    w = Window.partitionBy("_key").orderBy("_t").rangeBetween(-seconds, 0)
-    return (points.select("_key", "_t", F.percentile_approx("_v", 0.5).over(w).alias(name))
-            .groupBy("_key", "_t").agg(F.first(name).alias(name)))
+    """Keys are read in order, as a stream: a task holds one batch and the sorted frame of one key."""
+    ordered = points.repartition("_key").sortWithinPartitions("_key", "_t")
+    schema = T.StructType([ordered.schema["_key"], ordered.schema["_t"], T.StructField(name, T.DoubleType())])
+
+    def medians(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, last = object(), None
+        frame: deque[tuple[int, float]] = deque()
+        values: list[float] = []                    # NaN counts as greater than all others and is not among them
+        found: tuple[list, list, list] = ([], [], [])
+
+        def close() -> None:
+            if last is not None:
+                middle = (len(frame) - 1) // 2
+                for column, value in zip(found, (key, last, values[middle] if middle < len(values) else math.nan), strict=True):
+                    column.append(value)
+
+        def out() -> pa.RecordBatch:
+            arrow = to_arrow_schema(schema)
+            made = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(found, arrow, strict=True)], schema=arrow)
+            for c in found:
+                c.clear()
+            return made
+
+        for batch in batches:
+            for k, t, v in zip(*[batch.column(c).to_pylist() for c in ("_key", "_t", "_v")], strict=True):
+                if k != key or t != last:
+                    close()
+                if k != key:
+                    key = k
+                    frame.clear()
+                    values.clear()
+                while frame and frame[0][0] < t - seconds:
+                    gone = frame.popleft()[1]
+                    if gone == gone:
+                        del values[bisect_left(values, gone)]
+                frame.append((t, v))
+                if v == v:
+                    insort(values, v)
+                last = t
+            yield out()
+        close()
+        yield out()
+
+    return ordered.select("_key", "_t", "_v").mapInArrow(medians, schema)
 
 
 def _digit_search(points: DataFrame, seconds: int, name: str, scale: int, top: float,

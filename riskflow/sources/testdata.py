@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskflow.session import HUGE_METHOD, SQL_SETTINGS
+
 _TX = {
     "transaction_id": "event_id",
     "customer_id": "user_id",
@@ -52,6 +54,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as transactions."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set(HUGE_METHOD, SQL_SETTINGS[HUGE_METHOD])
     return _transactions(table(spark, sf_dir, "events"))
 
 

@@ -171,3 +171,22 @@ def test_median_does_not_depend_on_the_size_of_a_key(spark):
     rows = spark.range(400).select((F.col("id") % 3).alias("_key"), (F.col("id") * 9000).alias("_t"), (F.pmod(F.xxhash64("id"), F.lit(10**9)) / 1e6).alias("amount"))
     few, many = ({tuple(r) for r in frame_median(rows, 30 * 86400, "m", hot).collect()} for hot in (10_000, 1))
     assert few == many and len(few) == 400
+
+
+@pytest.mark.parametrize("block_days", [1, 7])
+def test_short_blocks_add_one_event_per_block_that_has_rows(spark, monkeypatch, block_days):
+    rows = spark.range(300).selectExpr("id % 3 as k", f"id * {DAY} as _t", "id as transaction_id", "id % 2 as v")
+    seen = []
+    sweep = KeyedFrames._sweep
+    monkeypatch.setattr(KeyedFrames, "_sweep", lambda self, events: (seen.append(events), sweep(self, events))[1])
+    KeyedFrames("k", block_days).count("n_30d", 30 * DAY).count("n_90d", 90 * DAY).compute(rows)
+    assert seen[0].count() <= 300 * 3 + 3 * (300 // block_days + 1)         # rows, exits, blocks; 90 and more per row before
+
+
+def test_sliding_median_by_streams_of_keys(spark):
+    nan = float("nan")
+    rows = spark.createDataFrame([(None, 0, 5.0), (None, 1, 3.0), (None, 1, 4.0), (None, 100, 9.0), ("a", 0, nan), ("a", 1, 2.0), ("a", 2, nan)],
+                                 "_key string, _t long, amount double")
+    out = {(r["_key"], r["_t"]): r["m"] for r in frame_median(rows, 99, "m").collect()}
+    assert out.pop(("a", 0)) != 0 and out.pop(("a", 2)) != 0               # not a number
+    assert out == {(None, 0): 5.0, (None, 1): 4.0, (None, 100): 4.0, ("a", 1): 2.0}
