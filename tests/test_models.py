@@ -111,3 +111,14 @@ def test_first_by_hash_is_exact(spark):
     order = [r["_id"] for r in df.orderBy(bucket("_id", 5, 64), "_id").collect()]
     for n in (0, 1, 37, 999, 1000):
         assert sorted(r["_id"] for r in first_by_hash(df, "_id", n, 5, 64).collect()) == sorted(order[:n])
+
+
+def test_gold_rows_are_built_from_stored_rules(spark, tmp_path, monkeypatch):
+    """The frames read their rows about twenty times, so the rules must not be part of them."""
+    from riskflow.catalog import models as Q
+
+    seen = []
+    build = Q.X.build_features
+    monkeypatch.setattr(Q.X, "build_features", lambda df: (seen.append(df), build(df))[1])
+    Q.gold_rows(spark, "/root/testdata/sf0.001")
+    assert "Window" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
