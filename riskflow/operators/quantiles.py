@@ -1,8 +1,8 @@
 """Median over a trailing frame.
 
 Keys with few rows are read in order with their frame kept sorted.
-Keys with more than `hot_rows` rows are resolved by a search over the digits of the value: per
-round, running counts (as in `frames`) say how many values of the frame lie under each digit, and
+Keys with more than `hot_rows` rows are resolved by a search over the digits of the value's rank among
+the different values of its key, so the rounds are as many as that number has digits: per round, running counts (as in `frames`) say how many values of the frame lie under each digit, and
 every second narrows its prefix to the digit that holds its middle value. A fixed number of rounds
 ends at the exact value, and each round is spread over (key, prefix, block).
 """
@@ -31,19 +31,17 @@ def frame_median(rows: DataFrame, seconds: int, name: str, hot_rows: int = 2000,
                  value: str = "amount", scale: int = UNIT) -> DataFrame:
     """Lower median of `value` per (`_key`, `_t`), as columns `_key`, `_t`, `name`.
 
-    Values are rounded to multiples of 1/`scale` first, so the size of a key changes no result. Whether there are hot keys, and how many
-    digits their values need, is asked first in one aggregate over the key and value columns.
+    Values are rounded to multiples of 1/`scale` first, so the size of a key changes no result. Whether there are hot keys
+    is asked first in one aggregate over the key column.
     """
     points = rows.where(F.col(value).isNotNull()).select("_key", "_t", (F.round(F.col(value) * scale, 0) / scale).alias("_v"))
-    hot_keys = points.groupBy("_key").agg(F.count(F.lit(1)).alias("_rows"), F.max(F.abs("_v")).alias("_top")).where(
-        F.col("_rows") > hot_rows)
-    hot = hot_keys.agg(F.count(F.lit(1)).alias("keys"), F.max("_top").alias("top")).first()
-    if not hot["keys"]:
+    hot_keys = points.groupBy("_key").agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
+    if hot_keys.isEmpty():
         return _sliding_median(points, seconds, name)
     marks = hot_keys.select(F.col("_key").alias("_hot"), F.lit(True).alias("_is_hot"))
     marked = points.join(marks, F.col("_key").eqNullSafe(F.col("_hot")), "left")
     few = _sliding_median(marked.where(F.col("_is_hot").isNull()), seconds, name)
-    many = _digit_search(marked.where(F.col("_is_hot")), seconds, name, scale, hot["top"])
+    many = _digit_search(marked.where(F.col("_is_hot")), seconds, name, scale)
     return few.unionByName(many)
 
 
@@ -94,15 +92,30 @@ def _sliding_median(points: DataFrame, seconds: int, name: str) -> DataFrame:
     return ordered.select("_key", "_t", "_v").mapInArrow(medians, schema)
 
 
-def _digit_search(points: DataFrame, seconds: int, name: str, scale: int, top: float,
-                  block_days: int = 30) -> DataFrame:
+def _ranked(values: DataFrame) -> DataFrame:
+    """`_key, _c, _rank`: the different values of each key, numbered in order from 0.
+
+    Numbered inside ranges of 65,536 possible values; the offset of a range is a running sum over one row per key and range.
+    """
+    different = values.select("_key", "_c", F.shiftright("_c", 16).alias("_g")).distinct()
+    sizes = different.groupBy("_key", "_g").agg(F.count(F.lit(1)).alias("_of"))
+    offsets = sizes.selectExpr("_key as _k", "_g as _og", "sum(_of) over (partition by _key order by _g) - _of as _offset")
+    placed = different.withColumn("_at", F.row_number().over(Window.partitionBy("_key", "_g").orderBy("_c")) - 1)
+    same = F.col("_key").eqNullSafe(F.col("_k")) & (F.col("_g") == F.col("_og"))
+    return placed.join(offsets, same).select("_key", "_c", (F.col("_offset") + F.col("_at")).cast("bigint").alias("_rank"))
+
+
+def _digit_search(points: DataFrame, seconds: int, name: str, scale: int, block_days: int = 30) -> DataFrame:
     block = block_days * 86400
-    bits = int(top * scale + 1).bit_length() + 1        # one more for the sign
-    bits += -bits % DIGIT_BITS
-    shift = 1 << (bits - 1)
     checkpoints(points.sparkSession)
-    code = (F.round(F.col("_v").cast("decimal(20,4)") * scale, 0).cast("bigint") + F.lit(shift)).alias("_c")
-    values = points.select("_key", "_t", code).groupBy("_key", "_t", "_c").agg(F.count(F.lit(1)).alias("_n")).checkpoint()
+    code = F.round(F.col("_v").cast("decimal(20,4)") * scale, 0).cast("bigint").alias("_c")
+    counted = points.select("_key", "_t", code).groupBy("_key", "_t", "_c").agg(F.count(F.lit(1)).alias("_n")).checkpoint()
+    ranks = _ranked(counted).checkpoint()
+    named = ranks.select(F.col("_key").alias("_k"), F.col("_c").alias("_rc"), "_rank")
+    values = counted.join(named, F.col("_key").eqNullSafe(F.col("_k")) & (F.col("_c") == F.col("_rc"))).select(
+        "_key", "_t", F.col("_rank").alias("_c"), "_n").checkpoint()
+    bits = max(1, int(ranks.agg(F.max("_rank")).first()[0] or 0).bit_length())
+    bits += -bits % DIGIT_BITS
 
     # Rank wanted in the frame: the lower middle of its rows.
     changes = values.groupBy("_key", "_t").agg(F.sum("_n").alias("_n"))
@@ -122,7 +135,8 @@ def _digit_search(points: DataFrame, seconds: int, name: str, scale: int, top: f
         below = F.when(F.col("_hit") > 0, F.get("_upto", F.col("_hit") - 1)).otherwise(F.lit(0))
         search = found.select("_key", "_t", (F.col("_p") * _FANOUT + F.col("_hit")).cast("bigint").alias("_p"),
                               (F.col("_r") - below).cast("bigint").alias("_r")).checkpoint()
-    return search.select("_key", "_t", ((F.col("_p") - shift) / F.lit(float(scale))).cast("double").alias(name))
+    found = search.join(named, F.col("_key").eqNullSafe(F.col("_k")) & (F.col("_p") == F.col("_rank")))
+    return found.select("_key", "_t", (F.col("_rc") / F.lit(float(scale))).cast("double").alias(name))
 
 
 def _running(data: DataFrame, ask: DataFrame, within: list[str], counts: dict, seconds: int, block: int) -> DataFrame:

@@ -190,3 +190,24 @@ def test_sliding_median_by_streams_of_keys(spark):
     out = {(r["_key"], r["_t"]): r["m"] for r in frame_median(rows, 99, "m").collect()}
     assert out.pop(("a", 0)) != 0 and out.pop(("a", 2)) != 0               # not a number
     assert out == {(None, 0): 5.0, (None, 1): 4.0, (None, 100): 4.0, ("a", 1): 2.0}
+
+
+def test_ranks_of_values_count_the_different_values_of_a_key(spark):
+    from riskflow.operators.quantiles import _ranked
+
+    codes = [-70_000, -1, 0, 3, 65_536, 65_537, 10**11]
+    rows = spark.createDataFrame([(k, c) for k in (None, "a") for c in codes[:4 if k else 7] for _ in range(3)], "_key string, _c long")
+    got = {(r["_key"], r["_c"]): r["_rank"] for r in _ranked(rows).collect()}
+    assert got == {(k, c): i for k in (None, "a") for i, c in enumerate(codes[:4 if k else 7])}
+
+
+def test_rounds_of_the_median_search_follow_the_number_of_values(spark, monkeypatch):
+    from riskflow.operators import quantiles
+
+    calls = []
+    run = quantiles._running
+    monkeypatch.setattr(quantiles, "_running", lambda *args: (calls.append(1), run(*args))[1])
+    rows = spark.range(40).selectExpr("cast(null as string) as _key", "id as _t", "1e6D * (id % 5 - 2) as amount")
+    out = {r["_t"]: r["m"] for r in frame_median(rows, 9, "m", hot_rows=0).collect()}
+    want = {t: sorted(1e6 * (i % 5 - 2) for i in range(max(0, t - 9), t + 1))[(min(t + 1, 10) - 1) // 2] for t in range(40)}
+    assert out == want and len(calls) == 2                                  # the sizes and one round of four bits; eleven rounds before
