@@ -122,3 +122,31 @@ def test_gold_rows_are_built_from_stored_rules(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(Q.X, "build_features", lambda df: (seen.append(df), build(df))[1])
     Q.gold_rows(spark, "/root/testdata/sf0.001")
     assert "Window" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_forest_walks_all_rows_at_once_as_one_by_one():
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(size=(300, 4)), 1)
+    x[7, 2] = np.nan
+    nodes = I._grow(x[100:164], np.arange(4), 6, rng)
+    tree = {c: np.array([n[i + 1] for n in nodes]) for i, c in enumerate(I.FIELDS)}
+    for row, got in zip(x, I.IsolationForest(list("abcd"), [tree], 64).raw(x), strict=True):
+        at = 0
+        while tree["feature"][at] >= 0:
+            at = tree["left"][at] if row[tree["feature"][at]] < tree["cut"][at] else tree["right"][at]
+        assert got == np.exp2(-tree["path"][at] / I._expected_path(64))
+    *_, steps = I._steps(tree)
+    assert steps == 6
+
+
+def test_fit_reads_stored_rows(rows, monkeypatch):
+    """The passes of a fit must not contain the search for near rows."""
+    seen = []
+    fit = E.GBTClassifier.fit
+    monkeypatch.setattr(E.GBTClassifier, "fit", lambda self, df: (seen.append(df), fit(self, df))[1])
+    train, validation = [P.assign_split(rows).where(F.col("split") == s).drop("split") for s in ("train", "validation")]
+    E.fit_primary(train, validation, ["x", "y"], rounds=2, depth=2)
+    E.fit_challenger(train, validation, ["x", "y"], rounds=2, depth=2)
+    for df in seen:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "Window" not in plan and "Join" not in plan
