@@ -187,7 +187,10 @@ def top_features(spark, sf_dir):
   SELECT transaction_id, {_BUCKET.format(seed=42)} AS b FROM tx) WHERE b < 1500""")
 def row_contributions(spark, sf_dir):
     """For every test row, the contributions of the ten features and the base add up to the margin."""
-    rows = training_rows(spark, sf_dir)
+    rows, path = training_rows(spark, sf_dir), scratch_dir(spark, "rows")
+    # Stored once in parts of 100,000 rows, as the input may have fewer parts than there are cores.
+    IO.write_layer(rows.repartition(-(-rows.count() // 100_000) or 1), path)
+    rows = IO.read_layer(spark, path)
     train, validation, test = [rows.where(F.col("split") == s).drop("split") for s in ("train", "validation", "test")]
     found = A.contributions(E.fit_primary(train, validation, COLUMNS), test, rows=None)
     return found.groupBy("transaction_id").agg(F.count("*").alias("features"), (
