@@ -128,8 +128,7 @@ class KeyedFrames:
         for other in parts[1:]:
             events = events.unionByName(other, allowMissingColumns=True)
         # What leaves a frame after the last row of the table changes none.
-        end = rows.agg(F.max(T).alias("_end"))
-        events = events.join(F.broadcast(end), F.col(T) <= F.col("_end")).drop("_end")
+        events = events.where(F.col(T) <= rows.agg(F.max(T)).scalar())
         return self._sweep(events.withColumn("_block", F.expr(f"{T} div {self.block}")))
 
     def _starts_within(self, leaves: str, longest: int) -> list[tuple[str, str]]:
