@@ -150,3 +150,12 @@ def test_fit_reads_stored_rows(rows, monkeypatch):
     for df in seen:
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert "Window" not in plan and "Join" not in plan
+
+
+def test_search_fits_on_partitions_of_the_asked_size(rows, monkeypatch):
+    """Each level of a tree starts a task per partition, so the folds must not be cut by the number of cores or files."""
+    seen = []
+    fit = E.GBTClassifier.fit
+    monkeypatch.setattr(E.GBTClassifier, "fit", lambda self, df, params: (seen.append(df.rdd.getNumPartitions()), fit(self, df, params))[1])
+    found = E.search(rows, ["x", "y"], trials=1, folds=2, max_rounds=2, parallelism=1, batch_rows=160).collect()
+    assert set(seen) == {25} and len(found) == 1 and 0 <= found[0].pr_auc <= 1
