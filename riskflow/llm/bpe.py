@@ -235,7 +235,7 @@ class Encoder(dict):
         return ids, np.append(0, np.cumsum(per_text))
 
 
-@cache
+@lru_cache(1)                                                        # another lexicon's table of pieces makes room first
 def worker_encoder(vocab_path: str, lexicon_file: str | None) -> Encoder:
     return Encoder(vocabulary(vocab_path), Automaton.mapped(SparkFiles.get(lexicon_file)) if lexicon_file else None)
 
@@ -284,6 +284,30 @@ def share_file(spark: SparkSession, content: bytes) -> str:
     return uri.rpartition("/")[2]
 
 
+@cache
+def token_bytes(vocab_path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Size and start of each token's bytes, and the bytes of all."""
+    tokens = vocabulary(vocab_path).bytes
+    sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
+    return sizes, np.cumsum(sizes) - sizes, np.frombuffer(b"".join(tokens), np.uint8)
+
+
+def texts_of(ids: np.ndarray, bounds: np.ndarray, vocab_path: str) -> pa.Array:
+    """The texts of the ids between the bounds."""
+    sizes, starts, flat = token_bytes(vocab_path)
+    grown = np.append(0, np.cumsum(sizes[ids]))
+    own = flat[np.repeat(starts[ids] - grown[:-1], sizes[ids]) + np.arange(grown[-1])]
+    ends = grown[bounds].tolist()
+    return pa.array([own[i:j].tobytes().decode("utf-8", "replace") for i, j in zip(ends[:-1], ends[1:], strict=True)], pa.string())
+
+
+def encoded(batch: pa.RecordBatch, encoder: Encoder) -> Iterator[tuple[list[pa.Array], np.ndarray, np.ndarray]]:
+    """Per block of texts its ``doc_id`` and ``ids``, the ids in one array and the bounds of each text in it."""
+    for a, b, texts in text_blocks(batch.column("text"), 1 << 19):
+        ids, bounds = encoder.encode(texts)
+        yield [batch.column("doc_id").slice(a, b - a), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))], ids, bounds
+
+
 def encode(docs: DataFrame, vocab_path: str, lexicon_file: str | None = None) -> DataFrame:
     """``doc_id, ids`` of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -291,31 +315,35 @@ def encode(docs: DataFrame, vocab_path: str, lexicon_file: str | None = None) ->
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(vocab_path, lexicon_file)
         for batch in batches:
-            for a, b, texts in text_blocks(batch.column("text"), 1 << 19):
-                ids, bounds = encoder.encode(texts)
-                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), lists], ["doc_id", "ids"])
+            for columns, _, _ in encoded(batch, encoder):
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids"])
 
     return docs.select("doc_id", text_of().alias("text")).mapInArrow(run, f"doc_id {kind}, ids array<int>")
 
 
+def round_trip(docs: DataFrame, vocab_path: str, lexicon_file: str | None = None) -> DataFrame:
+    """``doc_id, ids, text``: as ``decode`` of ``encode``, in one step, since each Python step of a stage has workers of its own."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = worker_encoder(vocab_path, lexicon_file)
+        for batch in batches:
+            for columns, ids, bounds in encoded(batch, encoder):
+                yield pa.RecordBatch.from_arrays([*columns, texts_of(ids, bounds, vocab_path)], ["doc_id", "ids", "text"])
+
+    return docs.select("doc_id", text_of().alias("text")).mapInArrow(run, f"doc_id {kind}, ids array<int>, text string")
+
+
 def decode(encoded: DataFrame, vocab_path: str) -> DataFrame:
     """``doc_id, ids, text``: the tokens' bytes put together; bytes that are no UTF-8 become the replacement sign."""
     kind = encoded.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = vocabulary(vocab_path).bytes
-        sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
-        starts, flat = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(tokens), np.uint8)
         for batch in batches:
             counts = batch.column("ids").value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
             for a, b in runs(counts, DECODED):
                 part = batch.slice(a, b - a)
-                ids = part.column("ids").flatten().to_numpy()
-                grown = np.append(0, np.cumsum(sizes[ids]))
-                own = flat[np.repeat(starts[ids] - grown[:-1], sizes[ids]) + np.arange(grown[-1])]
-                ends = grown[np.append(0, np.cumsum(counts[a:b]))]
-                texts = [own[i:j].tobytes().decode("utf-8", "replace") for i, j in zip(ends[:-1], ends[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
+                texts = texts_of(part.column("ids").flatten().to_numpy(), np.append(0, np.cumsum(counts[a:b])), vocab_path)
+                yield pa.RecordBatch.from_arrays([*part.columns, texts], ["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids array<int>, text string")

@@ -1,10 +1,12 @@
 """Encoding, decoding, packing and archives: exact against the public library, round trips and brute force."""
 
 import base64
+import gc
 import hashlib
 import itertools
 import math
 import random
+import weakref
 import zlib
 
 import numpy as np
@@ -46,6 +48,27 @@ def test_documents_equal_the_library(docs, texts, library, no_docs):
     assert bpe.decode(bpe.encode(no_docs, VOCAB, bpe.build_lexicon(no_docs, VOCAB)), VOCAB).count() == 0
 
 
+def test_round_trip_is_one_step_and_equals_encode_and_decode(docs):
+    """Each Python step of a stage has workers of its own, with a vocabulary in each."""
+    lexicon = bpe.build_lexicon(docs, VOCAB, 200)
+    done = bpe.round_trip(docs, VOCAB, lexicon)
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    both = bpe.decode(bpe.encode(docs, VOCAB, lexicon), VOCAB)
+    assert sorted(map(tuple, done.collect()), key=str) == sorted(map(tuple, both.collect()), key=str)
+
+
+def test_workers_keep_one_table(monkeypatch):
+    """A worker lives longer than a query; the pieces of an earlier lexicon must not stay in it."""
+    monkeypatch.setattr(bpe.SparkFiles, "get", lambda name: name)
+    monkeypatch.setattr(bpe.Automaton, "mapped", lambda path: None)
+    first = weakref.ref(bpe.worker_encoder(VOCAB, "a"))
+    bpe.worker_encoder(VOCAB, "b")
+    gc.collect()
+    assert first() is None
+    bpe.worker_encoder.cache_clear()
+
+
 def test_bytes_that_are_no_text(spark, library):
     ids = [[447], [447, 247], [256, 50256, 5], []]
     frame = spark.createDataFrame([(n, x) for n, x in enumerate(ids)], "doc_id long, ids array<int>")
