@@ -121,6 +121,7 @@ def _tenure(df: DataFrame) -> DataFrame:
 # Country as a value of its own kind, so that unknown is one of them.
 _COUNTRY = "coalesce(concat('=', country_code), '')"
 _PAYLOAD = "struct(timestamp as ts, transaction_id as id, latitude as lat, longitude as lon)"
+_PEERS = ("timestamp", "transaction_id")
 
 
 def _ask_previous(f: KeyedFrames) -> None:
@@ -141,7 +142,7 @@ def _resolve_previous(df: DataFrame, key: str = "customer_id") -> DataFrame:
 
 def _with_peer(df: DataFrame, key: str = "customer_id") -> DataFrame:
     """`_peer`: the row before this one within its second."""
-    return df.withColumn("_peer", F.lag(F.expr(_PAYLOAD)).over(Window.partitionBy(key, T).orderBy("timestamp", "transaction_id")))
+    return df.withColumn("_peer", F.lag(F.expr(_PAYLOAD)).over(Window.partitionBy(key, T).orderBy(*_PEERS)))
 
 
 def _geo(df: DataFrame, max_kmph: float) -> DataFrame:
@@ -304,9 +305,11 @@ def build_features(df: DataFrame, *, home_country: str = "IND", max_kmph: float
 
     base = with_second(df)
     # The frames are computed from the input, not from the widened rows; the rows are exchanged with the few columns first.
-    out = _with_peer(base)
-    for frames in (address, device, merchant, customer):
+    out = base
+    for frames in (address, device, merchant):
         out = frames.attach(out, source=base)
+    # The row before this one within its second needs no exchange of its own.
+    out = customer.attach(out, source=base, peers=_PEERS)
     out = out.withColumn("_prev", F.coalesce("_peer", "_prev")).drop("_peer")
     out = _geo(_behavior(_velocity(out, as_of)), max_kmph)
     out = _merchant(_device(out, max_customers, exclude_current), exclude_current)

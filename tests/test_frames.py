@@ -211,3 +211,25 @@ def test_rounds_of_the_median_search_follow_the_number_of_values(spark, monkeypa
     out = {r["_t"]: r["m"] for r in frame_median(rows, 9, "m", hot_rows=0).collect()}
     want = {t: sorted(1e6 * (i % 5 - 2) for i in range(max(0, t - 9), t + 1))[(min(t + 1, 10) - 1) // 2] for t in range(40)}
     assert out == want and len(calls) == 2                                  # the sizes and one round of four bits; eleven rounds before
+
+
+def test_rows_of_one_second_are_looked_up_where_the_customer_join_has_them(spark):
+    """Equal seconds, null customers and null times give what the geographic features alone give, without an exchange for the look-up."""
+    import re
+
+    from riskflow.operators import features as X
+    from riskflow.sources.testdata import transactions
+
+    tx = transactions(spark, "/root/testdata/sf0.001").where("transaction_id < 300").withColumns({
+        "customer_id": F.expr("if(transaction_id % 7 = 0, null, customer_id % 3)"),
+        "timestamp": F.expr("if(transaction_id % 11 = 0, null, timestamp_seconds(floor(unix_timestamp(timestamp) / 86400) * 86400))")})
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        done = X.build_features(tx)
+        assert not re.search(r"Exchange hashpartitioning\(customer_id#\w+, _t#", done._jdf.queryExecution().executedPlan().toString())
+        wanted = ["transaction_id", "time_since_last_txn_min", "distance_from_last_txn_km", "implied_travel_speed_kmph", "is_new_country"]
+        got, want = (sorted(map(tuple, x.select(wanted).collect())) for x in (done, X.add_geo_features(tx)))
+        assert got == want and len(got) > 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
