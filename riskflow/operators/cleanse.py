@@ -25,14 +25,19 @@ def with_metadata(raw: DataFrame, batch_id: str, source_path: Column | None = No
 
 def latest_per_key(df: DataFrame, key: str = "transaction_id",
                    order: tuple[str, ...] = ("_ingestion_ts", "_record_hash")) -> DataFrame:
-    """The last row of each key by `order`.
+    """The last row of each key by `order`; of rows alike there, the one with the greatest other values.
 
     An aggregate rather than a ranking: copies of a key are reduced before the exchange, so a key
-    that repeats without end costs no more than one that does not.
+    that repeats without end costs no more than one that does not. The row is one struct led by the
+    order, so each column is compared, sorted and moved once.
     """
     rest = [c for c in df.columns if c != key]
-    last = F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")
-    return df.groupBy(key).agg(last).select(*[F.col(f"_row.{c}").alias(c) if c != key else F.col(key)
+    place = {c: f"_{i}" for i, c in enumerate([*order, *[c for c in rest if c not in order]])}
+    row = F.struct(*[F.col(c).alias(p) for c, p in place.items()])
+    # Maps and variants have no order; with them rows alike in `order` are left to chance.
+    unordered = any(t in kind for _, kind in df.select(*place).dtypes for t in ("map<", "variant"))
+    last = (F.max_by(row, F.struct(*order)) if unordered else F.max(row)).alias("_row")
+    return df.groupBy(key).agg(last).select(*[F.col(f"_row.{place[c]}").alias(c) if c != key else F.col(key)
                                              for c in df.columns])
 
 
@@ -101,10 +106,23 @@ def merge_key(columns: list[str], key: str = "transaction_id") -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.concat(F.lit("#"), content))
 
 
+def latest_per_merge_key(df: DataFrame, key: str = "transaction_id",
+                         order: tuple[str, ...] = ("_ingestion_ts", "_record_hash")) -> DataFrame:
+    """The last row of each merge key, which stays as the column `_merge`.
+
+    A text key is read back from `_merge`, so that the exchange does not move it twice.
+    """
+    keyed = df.withColumn("_merge", merge_key(df.columns, key))
+    if key in order or dict(df.dtypes)[key] != "string":
+        return latest_per_key(keyed, "_merge", order)
+    own = F.when(F.col("_merge").startswith("="), F.expr("substring(_merge, 2)")).alias(key)
+    return latest_per_key(keyed.drop(key), "_merge", order).select(*[own if c == key else c for c in df.columns], "_merge")
+
+
 def not_yet_stored(batch: DataFrame, stored: DataFrame | None, key: str = "transaction_id",
                    order: tuple[str, ...] = ("_ingestion_ts", "_record_hash")) -> DataFrame:
     """Rows of an insert-only merge: one per key that the stored table does not hold."""
-    keyed = latest_per_key(batch.withColumn("_merge", merge_key(batch.columns, key)), "_merge", order)
+    keyed = latest_per_merge_key(batch, key, order)
     if stored is not None:
         keyed = keyed.join(stored.select(merge_key(batch.columns, key).alias("_merge")), "_merge", "left_anti")
     return keyed.drop("_merge")
@@ -113,7 +131,7 @@ def not_yet_stored(batch: DataFrame, stored: DataFrame | None, key: str = "trans
 def silver(bronze: DataFrame, customers: DataFrame | None = None, merchants: DataFrame | None = None,
            order: tuple[str, ...] = ("_ingestion_ts", "_record_hash"), **limits) -> DataFrame:
     """Deduplicated, typed, flagged, converted and enriched; not yet split by quality, whose limits are those of `dq_flags`."""
-    latest = latest_per_key(bronze.withColumn("_merge", merge_key(bronze.columns)), "_merge", order).drop("_merge")
+    latest = latest_per_merge_key(bronze, order=order).drop("_merge")
     df = normalize_currency(flag_quality(cast_fields(latest), **limits))
     if customers is not None:
         df = enrich(df, customers, "customer_id", S.CUSTOMER_ATTRIBUTES, "ref_")

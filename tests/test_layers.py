@@ -60,6 +60,36 @@ def test_latest_copy_of_a_key_wins_also_for_a_hot_key(spark):
     assert out.where("transaction_id = 0").first()["seq"] == 999
 
 
+def test_copies_alike_in_order_leave_the_same_row_in_any_sequence(spark):
+    rows = [("k", 1, "a", None), ("k", 1, "b", 2), ("k", 1, "b", 1), ("k", 0, "z", 9)]
+    schema = "transaction_id string, seq int, payload string, n int"
+    for given in (rows, rows[::-1], rows[1:] + rows[:1]):
+        df = spark.createDataFrame(given, schema).coalesce(1)
+        assert [tuple(r) for r in cleanse.latest_per_key(df, order=("seq",)).collect()] == [("k", 1, "b", 2)]
+        assert [tuple(r) for r in cleanse.not_yet_stored(df, None, order=("seq",)).collect()] == [("k", 1, "b", 2)]
+
+
+def test_a_text_key_is_moved_once_and_comes_back_as_it_was(spark):
+    keys = ["a", "=a", "#a", "", "=", "\u00e4 1", None, None]
+    df = spark.createDataFrame([(i % 2, k, f"p{i}") for i, k in enumerate(keys)] * 2, "seq int, transaction_id string, payload string")
+    out = cleanse.not_yet_stored(df, None, order=("seq",))
+    assert out.schema.simpleString() == df.schema.simpleString()
+    assert sorted(map(repr, out.collect())) == sorted(map(repr, df.distinct().collect()))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    moved = next(line for line in plan.splitlines() if line.lstrip(" +-:").startswith("Aggregate"))
+    assert "max(" in moved and "payload" in moved and "transaction_id" not in moved.split("max(")[1]
+    assert cleanse.not_yet_stored(df, out, order=("seq",)).isEmpty()
+    assert cleanse.not_yet_stored(df, out.where("transaction_id = '=a'"), order=("seq",)).count() == 7
+
+
+def test_merge_takes_keys_and_columns_of_other_types(spark):
+    df = spark.sql("select * from values (1L, 1, map('a', 1)), (1L, 2, map('b', 2)), (2L, 1, null) t(transaction_id, seq, attributes)")
+    out = cleanse.not_yet_stored(df, None, order=("seq",)).orderBy("transaction_id").collect()
+    assert [tuple(r) for r in out] == [(1, 2, {"b": 2}), (2, 1, None)]
+    by_key = cleanse.not_yet_stored(df.selectExpr("cast(transaction_id as string) transaction_id", "seq"), None, order=("transaction_id", "seq"))
+    assert sorted(map(tuple, by_key.collect())) == [("1", 2), ("2", 1)]
+
+
 def test_enrichment_keeps_unmatched_rows_and_own_columns(spark):
     tx = spark.createDataFrame([("m1", "own"), ("m2", "own"), (None, "own")], "merchant_id string, merchant_name string")
     ref = spark.createDataFrame([("m1", "ref", "LOW", 5411, False)],
