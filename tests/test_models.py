@@ -159,3 +159,12 @@ def test_search_fits_on_partitions_of_the_asked_size(rows, monkeypatch):
     monkeypatch.setattr(E.GBTClassifier, "fit", lambda self, df, params: (seen.append(df.rdd.getNumPartitions()), fit(self, df, params))[1])
     found = E.search(rows, ["x", "y"], trials=1, folds=2, max_rounds=2, parallelism=1, batch_rows=160).collect()
     assert set(seen) == {25} and len(found) == 1 and 0 <= found[0].pr_auc <= 1
+
+
+def test_search_fits_every_fold_of_every_trial(rows, monkeypatch):
+    """No trial may stop before its last fold, so that all scores are means over the same rows."""
+    seen = []
+    fit = E.GBTClassifier.fit
+    monkeypatch.setattr(E.GBTClassifier, "fit", lambda self, df, params: (seen.append(1), fit(self, df, params))[1])
+    found = E.search(rows, ["x", "y"], trials=4, folds=3, max_rounds=2, parallelism=4, batch_rows=4000).collect()
+    assert len(seen) == 12 and [r.folds for r in found] == [3] * 4
