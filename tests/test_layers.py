@@ -159,3 +159,22 @@ def test_daily_chain(spark, source, tmp_path):
     scored = spark.read.parquet(str(tmp_path / "lake/scored"))
     assert scored.count() == 12 and "fraud_risk_score" in scored.columns
     assert scored.where("transaction_id = 't1'").first()["amount_inr"] == pytest.approx(101 * 83.5)
+
+
+def test_a_written_layer_leaves_no_shuffle_files(spark, tmp_path):
+    """They would stay until the driver collects its garbage, one set for each layer."""
+    import time
+
+    def files():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(i).getName() for i in range(found.length()) if found.apply(i).getName().startswith("shuffle_")}
+
+    before = files()
+    df = spark.range(5000).groupBy((F.col("id") % 700).alias("k")).agg(F.count("*").alias("n"))
+    IO.write_layer(df, str(tmp_path / "t"))
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.2)
+    assert files() <= before
+    assert IO.read_layer(spark, str(tmp_path / "t")).count() == 700

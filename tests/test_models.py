@@ -168,3 +168,59 @@ def test_search_fits_every_fold_of_every_trial(rows, monkeypatch):
     monkeypatch.setattr(E.GBTClassifier, "fit", lambda self, df, params: (seen.append(1), fit(self, df, params))[1])
     found = E.search(rows, ["x", "y"], trials=4, folds=3, max_rounds=2, parallelism=4, batch_rows=4000).collect()
     assert len(seen) == 12 and [r.folds for r in found] == [3] * 4
+
+
+class Weighted:
+    """In place of a fitted model: a probability that is a plain sum of the columns."""
+
+    columns = ["x", "y"]
+
+    def probability(self, df, output):
+        return df.withColumn(output, (F.col("x") * 3 + F.col("y")) / 1000)
+
+
+def test_importance_equals_exchanging_values_by_hand(spark):
+    """Also with ids that repeat or are missing; the rows are exchanged once and joined with nothing."""
+    df = spark.range(90).selectExpr("if(id % 11 = 0, null, id div if(id < 20, 3, 1)) as transaction_id").selectExpr(
+        "transaction_id", "coalesce(transaction_id * 7 % 23, 40) as x", "cast(coalesce(transaction_id * 5 % 19, 9) as double) as y")
+    found = E.importance(Weighted(), df, group=30)
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    groups = {}
+    for r in df.selectExpr("transaction_id as k", "x", "y", "pmod(xxhash64(transaction_id, 42), 3) as g").collect():
+        groups.setdefault(r.g, []).append(r)
+    changes = {"x": [], "y": []}
+    p = lambda x, y: (x * 3 + y) / 1000
+    for rows in groups.values():
+        rows.sort(key=lambda r: (r.k is not None, r.k, r.x, r.y))
+        for i, r in enumerate(rows):
+            w = rows[(i + len(rows) // 2) % len(rows)]
+            for other in rows:
+                if r.k is not None and other.k == r.k:
+                    changes["x"].append(abs(p(w.x, r.y) - p(other.x, other.y)))
+                    changes["y"].append(abs(p(r.x, w.y) - p(other.x, other.y)))
+    got = {r.feature: r.importance for r in found.collect()}
+    assert got == {c: pytest.approx(np.mean(v)) for c, v in changes.items()}
+
+
+def scratch_tables(spark, label):
+    from pathlib import Path
+
+    root = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    return {p.name for p in root.iterdir() if p.name.startswith(f"{label}-")}
+
+
+def test_a_fit_removes_the_rows_it_stored(spark, rows):
+    train, validation = [P.assign_split(rows).where(F.col("split") == s).drop("split") for s in ("train", "validation")]
+    before = scratch_tables(spark, "training")
+    model = E.fit_primary(train, validation, ["x", "y"], rounds=2, depth=2)
+    E.fit_challenger(train, validation, ["x", "y"], rounds=2, depth=2)
+    assert scratch_tables(spark, "training") == before
+    assert model.probability(validation, "p").where("p between 0 and 1").count() == validation.count()
+
+
+def test_gold_rows_remove_the_ruled_rows(spark):
+    from riskflow.catalog import models as Q
+
+    before = scratch_tables(spark, "ruled")
+    gold = Q.gold_rows(spark, "/root/testdata/sf0.001")
+    assert scratch_tables(spark, "ruled") == before and gold.count() == 1000
