@@ -233,3 +233,12 @@ def test_rows_of_one_second_are_looked_up_where_the_customer_join_has_them(spark
         assert got == want and len(got) > 100
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_distinct_counts_of_the_query_are_stored_one_by_one(spark):
+    """All four in one plan would keep the shuffle files of all of them until its end."""
+    from riskflow.catalog.registry import QUERIES
+    import riskflow.catalog.features  # noqa: F401
+
+    plan = QUERIES["unique_counts_sketch"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 4 and "Window" not in plan and "hll" not in plan
