@@ -224,3 +224,15 @@ def test_gold_rows_remove_the_ruled_rows(spark):
     before = scratch_tables(spark, "ruled")
     gold = Q.gold_rows(spark, "/root/testdata/sf0.001")
     assert scratch_tables(spark, "ruled") == before and gold.count() == 1000
+
+
+def test_neighbours_are_looked_up_by_id(rows):
+    """The exchanges by pairs of rows carry ids and distances; synthetic rows lie on lines between minority rows."""
+    made = P.oversample(rows, ["x", "y"], 0.15, rows_per_cell=60).where("is_synthetic")
+    assert "first(_x" not in made._jdf.queryExecution().optimizedPlan().toString()
+    few = np.array([(r.x, r.y) for r in rows.where("is_fraud = 1").collect()])
+    for r in made.collect():
+        at = np.array([r.x, r.y])
+        a, b = few[:, None] - at, few[None, :] - at
+        between = np.abs(a[..., 0] * b[..., 1] - a[..., 1] * b[..., 0]) < 1e-6
+        assert (between & ((a * b).sum(axis=2) <= 1e-6)).any()
