@@ -87,7 +87,8 @@ def oversample(df: DataFrame, columns: list[str], ratio: float = 0.15, label: st
     scales = few.agg(*[F.stddev_pop(c).alias(c) for c in columns]).first()
     scaled = F.array(*[F.coalesce(F.col(c), F.lit(0.0)) / F.lit(scales[c] or 1.0) for c in columns])
     points = few.select(F.col(key).alias("_id"), F.array(*[F.coalesce(F.col(c), F.lit(0.0)) for c in columns]).alias("_x"))
-    places = few.select(F.col(key).alias("_id"), scaled.alias("_z"))
+    # The hash tells rows apart that share an id.
+    places = few.select(F.col(key).alias("_id"), scaled.alias("_z"), F.xxhash64(*[F.coalesce(F.col(c), F.lit(0.0)) for c in columns]).alias("_h"))
 
     def weight(p: int, i: int) -> float:
         # Signs of a fixed pattern: a random +-1 projection that is the same everywhere.
@@ -96,7 +97,7 @@ def oversample(df: DataFrame, columns: list[str], ratio: float = 0.15, label: st
     axes = F.array(*[F.struct(F.lit(p).alias("axis"), reduce(lambda a, b: a + b, [
         F.get("_z", F.lit(i)) * weight(p, i) for i in range(len(columns))]).alias("pos")) for p in range(projections)])
     # A trace of noise, so that equal rows do not all fall into one cell.
-    placed = places.select("_id", "_z", F.inline(axes)).withColumn(
+    placed = places.select("_id", "_h", "_z", F.inline(axes)).withColumn(
         "pos", F.col("pos") + (F.abs("pos") + 1) * bucket("_id", seed, 1 << 30) / F.lit(1e18))
     # No more cuts than are cheap to search for each row; beyond that the cells grow.
     cells = min(max(1, minority // rows_per_cell), 1000)
@@ -107,18 +108,18 @@ def oversample(df: DataFrame, columns: list[str], ratio: float = 0.15, label: st
     else:
         placed = placed.withColumn("cell", F.lit(0))
     w = Window.partitionBy("axis", "cell").orderBy("pos", "_id")
-    other = F.struct("_id", "_z")
+    other = F.struct("_id", "_h", "_z")
 
     def found(o: Column) -> Column:
         apart = F.aggregate(F.zip_with("_z", o["_z"], lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, d: a + d)
-        return F.when(o.isNotNull(), F.struct(o["_id"].alias("_nid"), apart.alias("_d")))
+        return F.when(o.isNotNull(), F.struct(o["_id"].alias("_nid"), o["_h"].alias("_nh"), apart.alias("_d")))
 
-    # Only ids and distances are exchanged from here on; the values of the near rows that are drawn are looked up in the end.
+    # Only ids, hashes and distances are exchanged from here on; the values of the near rows that are drawn are looked up in the end.
     sides = {f"_o{i}": step for i, step in enumerate(f(other, k).over(w) for f in (F.lag, F.lead) for k in (1, 2))}
     near = placed.withColumns(sides).select("_id", F.explode(F.array_compact(F.array(*[found(F.col(o)) for o in sides]))).alias("o"))
     near = near.select("_id", "o.*").where(F.col("_id") != F.col("_nid"))
-    best = (near.groupBy("_id", "_nid").agg(F.min("_d").alias("_d"))
-            .groupBy("_id").agg(F.slice(F.sort_array(F.collect_list(F.struct("_d", "_nid"))), 1, neighbours).alias("near")))
+    best = (near.groupBy("_id", "_nid").agg(F.first("_nh").alias("_nh"), F.min("_d").alias("_d"))
+            .groupBy("_id").agg(F.slice(F.sort_array(F.collect_list(F.struct("_d", "_nid", "_nh"))), 1, neighbours).alias("near")))
     best = points.join(best, "_id", "left")
     # Copies per row: the whole part for all, one more for as many as are left.
     whole, part = divmod(wanted, minority)
@@ -128,11 +129,11 @@ def oversample(df: DataFrame, columns: list[str], ratio: float = 0.15, label: st
     made = best.select("_id", "_x", "near", F.explode(F.when(copies > 0, F.sequence(F.lit(1), copies))).alias("c"))
     draw = lambda tag, n: bucket(F.concat_ws(":", F.lit(tag), F.col("_id").cast("string"), F.col("c").cast("string")),
                                  seed, n)
-    made = made.select("_x", F.get("near", draw("n", 1 << 20) % F.size("near"))["_nid"].alias("_nid"),
-                       (draw("u", _BUCKETS) / F.lit(float(_BUCKETS))).alias("u"))
+    drawn = F.get("near", draw("n", 1 << 20) % F.size("near"))
+    made = made.select("_x", drawn["_nid"].alias("_nid"), drawn["_nh"].alias("_nh"), (draw("u", _BUCKETS) / F.lit(float(_BUCKETS))).alias("u"))
     # A row without a near one is repeated as it is.
-    others = points.select(F.col("_id").alias("_nid"), F.col("_x").alias("n")).dropDuplicates(["_nid"])
-    made = made.join(others, "_nid", "left").withColumn("n", F.coalesce("n", "_x"))
+    others = points.select(F.col("_id").alias("_nid"), F.xxhash64(*[F.get("_x", F.lit(i)) for i in range(len(columns))]).alias("_nh"), F.col("_x").alias("n"))
+    made = made.join(others.dropDuplicates(["_nid", "_nh"]), ["_nid", "_nh"], "left").withColumn("n", F.coalesce("n", "_x"))
     mixed = F.zip_with("_x", "n", lambda a, b: a + F.col("u") * (b - a))
     synthetic = made.select(mixed.alias("_v")).select(
         *[F.get("_v", F.lit(i)).alias(c) for i, c in enumerate(columns)], F.lit(1).alias(label),
